@@ -20,7 +20,8 @@ REQUIRED_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Local defaults; only applied when the session does not already define them.
+# Defaults for local runs (tests, bench); a cluster job passes its own session
+# and only calls ``configure``.
 LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -57,12 +58,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (the cluster names it); only when the
     session has none (local tests) do we set one under the system temp folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        # Tests only: no cluster-named folder, so take a fresh local one.
         import tempfile
 
         root = tempfile.mkdtemp(prefix="emporia-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import functions as F
 
+from emporia.session import checkpoint_root
+
 _BUCKET = "_bucket"
 _N = "_n"
 
@@ -53,12 +55,19 @@ def surrogate_keys(df: DataFrame, business_keys: list[str], key_name: str,
 
 
 def global_rank(df: DataFrame, value: str, rank_name: str, descending: bool = True,
-                buckets: int | None = None, relative_error: float = 0.001) -> DataFrame:
+                buckets: int | None = None, relative_error: float = 0.001,
+                materialize: bool = True) -> DataFrame:
     """SQL ``RANK() OVER (ORDER BY value [DESC])`` (gaps on ties) over all rows of ``df``.
 
     NULL values rank last for DESC and first for ASC, as in Spark's default ordering.
+    ``df`` is read three times (cut points, per-bucket ranks, final join), so by
+    default it is checkpointed once to the cluster's checkpoint folder instead of
+    recomputing its whole lineage three times.
     """
     b = buckets or default_buckets(df)
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint(eager=True)
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias(_N))
     # Ordered cut points of the distinct non-NULL values (B-1 numbers to the driver).
     fractions = [i / b for i in range(1, b)]

@@ -18,6 +18,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -68,7 +69,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, root: str, feed_reader: Callable[[str], DataFrame],
                  calendar: tuple[dt.date, dt.date] = G.DEFAULT_CALENDAR,
                  source_system: str = DEFAULT_SOURCE_SYSTEM,
-                 clock: Callable[[], dt.datetime] = _now) -> None:
+                 clock: Callable[[], dt.datetime] = _now, parallel_tables: int = 5) -> None:
         self.spark = spark
         self.store = TableStore(spark, root)
         self.control = Control(spark, self.store)
@@ -76,6 +77,7 @@ class Pipeline:
         self.calendar = calendar
         self.source_system = source_system
         self.clock = clock
+        self.parallel_tables = parallel_tables
 
     # ---- logging helper ---------------------------------------------------
     def _step(self, run_id: str, name: str, layer: str, load_type: str, fn: Callable[[], int]) -> int:
@@ -86,18 +88,27 @@ class Pipeline:
         except Exception as e:
             self.control.log_event(run_id, log_id, name, layer, load_type, "FAILED", start, self.clock(),
                                    error=str(e))
+            self.control.flush()
             raise
         self.control.log_event(run_id, log_id, name, layer, load_type, "SUCCESS", start, self.clock(), rows=rows)
+        self.control.flush()
         return rows
 
+    def _each(self, result: RunResult, prefix: str, names, fn: Callable[[str], int]) -> int:
+        """Load independent tables of one layer as concurrent Spark jobs."""
+        with ThreadPoolExecutor(max_workers=self.parallel_tables) as pool:
+            counts = dict(zip(names, pool.map(fn, names)))
+        for n, c in counts.items():
+            result.rows[f"{prefix}{n}"] = c
+        return sum(counts.values())
+
     # ---- stage 0: source (always snapshot) --------------------------------
+    def load_source_table(self, name: str) -> int:
+        c = _write_counted(self.feed_reader(name), lambda d: self.store.write_version("source", name, d))
+        return c["inserted"]
+
     def load_source(self, result: RunResult) -> int:
-        total = 0
-        for name in FEEDS:
-            c = _write_counted(self.feed_reader(name), lambda d, n=name: self.store.write_version("source", n, d))
-            result.rows[f"source_{name}"] = c["inserted"]
-            total += c["inserted"]
-        return total
+        return self._each(result, "source_", FEEDS, self.load_source_table)
 
     # ---- stage 1: bronze --------------------------------------------------
     def load_bronze_table(self, name: str, load_type: str, batch_ts: dt.datetime) -> int:
@@ -113,12 +124,7 @@ class Pipeline:
         return c["inserted"]
 
     def load_bronze(self, result: RunResult, load_type: str, batch_ts: dt.datetime) -> int:
-        total = 0
-        for name in FEEDS:
-            n = self.load_bronze_table(name, load_type, batch_ts)
-            result.rows[f"bronze_{name}"] = n
-            total += n
-        return total
+        return self._each(result, "bronze_", FEEDS, lambda n: self.load_bronze_table(n, load_type, batch_ts))
 
     # ---- stage 2: silver --------------------------------------------------
     def load_silver_table(self, name: str, load_type: str, batch_ts: dt.datetime) -> int:
@@ -141,12 +147,7 @@ class Pipeline:
         return c["inserted"] + c["updated"]
 
     def load_silver(self, result: RunResult, load_type: str, batch_ts: dt.datetime) -> int:
-        total = 0
-        for name in FEEDS:
-            n = self.load_silver_table(name, load_type, batch_ts)
-            result.rows[f"silver_{name}"] = n
-            total += n
-        return total
+        return self._each(result, "silver_", FEEDS, lambda n: self.load_silver_table(n, load_type, batch_ts))
 
     # ---- stage 3: gold ----------------------------------------------------
     def calendar_table(self) -> DataFrame:
@@ -201,16 +202,12 @@ class Pipeline:
         return c["inserted"]
 
     def load_gold(self, result: RunResult, load_type: str, batch_ts: dt.datetime) -> int:
-        total = 0
-        for dim in ("customers", "products"):
-            n = self._load_dim(dim, load_type, batch_ts)
-            result.rows[f"gold_dim_{dim}"] = n
-            total += n
-        for fact in ("fact_sales", "fact_orders"):
-            n = self._load_fact(fact, load_type, batch_ts)
-            result.rows[f"gold_{fact}"] = n
-            total += n
-        return total
+        # Dimensions first (facts look their keys up), then both facts.
+        self.calendar_table()
+        total = self._each(result, "gold_dim_", ("customers", "products"),
+                           lambda d: self._load_dim(d, load_type, batch_ts))
+        return total + self._each(result, "gold_", ("fact_sales", "fact_orders"),
+                                  lambda f: self._load_fact(f, load_type, batch_ts))
 
     # ---- OP-C08 -----------------------------------------------------------
     def run(self, load_type: str = "incremental", batch_ts: dt.datetime | None = None) -> RunResult:
@@ -221,6 +218,7 @@ class Pipeline:
         result = RunResult(run_id, load_type, batch_ts)
         log_id, start = new_id(), self.clock()
         self.control.log_event(run_id, log_id, "MAIN_PIPELINE", "all", load_type, "RUNNING", start)
+        self.control.flush()
         try:
             self._step(run_id, "load_source", "source", SNAPSHOT, lambda: self.load_source(result))
             self._step(run_id, "load_bronze", "bronze", load_type,
@@ -232,9 +230,11 @@ class Pipeline:
         except Exception as e:
             self.control.log_event(run_id, log_id, "MAIN_PIPELINE", "all", load_type, "FAILED", start,
                                    self.clock(), error=str(e))
+            self.control.flush()
             raise
         self.control.log_event(run_id, log_id, "MAIN_PIPELINE", "all", load_type, "SUCCESS", start, self.clock(),
                                rows=result.total_rows)
+        self.control.flush()
         result.seconds = time.time() - t0
         return result
 

@@ -81,14 +81,14 @@ def build_dim(silver: DataFrame, columns: list[str], id_col: str, key_name: str,
 
 def merge_dim(existing: DataFrame, silver_changes: DataFrame, columns: list[str], id_col: str,
               key_name: str, update_columns: list[str], compare_defaults: dict[str, object],
-              batch_ts: dt.datetime, max_key: int) -> DataFrame:
+              batch_ts: dt.datetime, max_key: int, small_changes: bool = False) -> DataFrame:
     """Type-1 upsert: update ``update_columns`` only when one of them really differs.
 
     New rows get keys ``max_key + 1 ..``; existing keys never change.
     """
     cond = null_safe_differs(update_columns, compare_defaults)
     merged = merge(existing, silver_changes, [id_col], columns, update_columns, batch_ts,
-                   matched_condition=cond, carried_columns=[key_name])
+                   matched_condition=cond, carried_columns=[key_name], small_changes=small_changes)
     new = merged.where(F.col(ACTION) == "insert").drop(key_name)
     old = merged.where(F.col(ACTION) != "insert")
     new = _with_new_keys(new, id_col, key_name, max_key)
@@ -149,13 +149,21 @@ FACT_SALES_COLUMNS = [
 ]
 
 
+def _changed_ids(o: DataFrame, small_delta: bool) -> DataFrame:
+    ids = o.select("order_id")
+    return F.broadcast(ids) if small_delta else ids
+
+
 def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_customers: DataFrame,
                dim_products: DataFrame, calendar: DataFrame, watermark: dt.datetime | None = None,
-               existing: DataFrame | None = None) -> DataFrame:
+               existing: DataFrame | None = None, small_delta: bool = False) -> DataFrame:
     """Line-grain fact: items of known orders with first payment and dimension keys.
 
     Incremental: only orders changed since the watermark, and only lines not
     already in the fact (insert-only; a snapshot run repairs later changes).
+    ``small_delta`` (measured by the caller): the changed order ids are
+    broadcast, so items, payments and the existing fact are filtered by
+    broadcast semi-joins instead of being shuffled.
     """
     o = changed_since(orders, watermark).select(
         "order_id", "customer_id", "order_status", "is_late_delivery", "order_purchase_timestamp")
@@ -163,9 +171,12 @@ def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_cus
                       "total_item_value", "is_free_shipping")
     if watermark is not None:
         # Only the items of changed orders take part (semi-join before the wide joins).
-        it = it.join(o.select("order_id"), "order_id", "left_semi")
-    pay = first_payment_per_order(payments.join(o.select("order_id"), "order_id", "left_semi")
-                                  if watermark is not None else payments)
+        ids = _changed_ids(o, small_delta)
+        it = it.join(ids, "order_id", "left_semi")
+        payments = payments.join(ids, "order_id", "left_semi")
+        if existing is not None:
+            existing = existing.join(ids, "order_id", "left_semi")
+    pay = first_payment_per_order(payments)
     df = (
         it.join(o, "order_id", "inner")
         .join(pay, "order_id", "left")
@@ -199,13 +210,15 @@ FACT_ORDERS_COLUMNS = [
 
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, dim_customers: DataFrame,
                 calendar: DataFrame, watermark: dt.datetime | None = None,
-                existing: DataFrame | None = None) -> DataFrame:
+                existing: DataFrame | None = None, small_delta: bool = False) -> DataFrame:
     """Order-grain fact: order attributes + item and payment totals (pre-aggregated, no fan-out)."""
     o = changed_since(orders, watermark)
     it, pay = items, payments
     if watermark is not None:
-        ids = o.select("order_id")
+        ids = _changed_ids(o, small_delta)
         it, pay = it.join(ids, "order_id", "left_semi"), pay.join(ids, "order_id", "left_semi")
+        if existing is not None:
+            existing = existing.join(ids, "order_id", "left_semi")
     df = (
         o.join(order_item_totals(it), "order_id", "left")
         .join(order_payment_totals(pay), "order_id", "left")

@@ -1,0 +1,28 @@
+"""Size checks before a broadcast.
+
+A side is broadcast only after its row count was measured under a bound;
+otherwise the caller keeps the shuffle (sort-merge) plan.  The bound is a
+session setting so a cluster can size it to its executors' memory.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS_CONF = "emporia.broadcast.maxRows"
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+
+
+def count_at_most(df: DataFrame, limit: int) -> int | None:
+    """Row count if it is <= ``limit`` (reads at most limit+1 rows), else None."""
+    n = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return int(n) if n <= limit else None
+
+
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    return count_at_most(df, broadcast_limit(df) if limit is None else limit) is not None

@@ -28,7 +28,8 @@ from emporia.operators import bronze as B
 from emporia.operators import gold as G
 from emporia.operators.control import Control, new_id
 from emporia.operators.merge import ACTION, insert_all, merge
-from emporia.operators.silver import CLEANERS
+from emporia.operators.silver import CLEANERS, incremental_filter
+from emporia.operators.sizing import is_small
 from emporia.schemas import DEFAULT_SOURCE_SYSTEM, FEEDS, SILVER_SPECS
 from emporia.sources.store import TableStore
 
@@ -136,12 +137,16 @@ class Pipeline:
         if wm is not None:
             # Partition pruning on the ingestion date, then the exact timestamp test.
             bronze = bronze.where(F.col(BRONZE_PARTITION) >= F.lit(wm.date()))
-        changes = CLEANERS[name](bronze.drop(BRONZE_PARTITION), wm)
+        bronze = bronze.drop(BRONZE_PARTITION)
+        changes = CLEANERS[name](bronze, wm)
         cols = list(spec.columns)
         if target is None:
             out = insert_all(changes, cols, batch_ts)
         else:
-            out = merge(target, changes, list(spec.keys), cols, list(spec.update_columns), batch_ts)
+            # The new bronze rows bound the changes; a small delta merges by broadcast.
+            small = is_small(incremental_filter(bronze, wm))
+            out = merge(target, changes, list(spec.keys), cols, list(spec.update_columns), batch_ts,
+                        small_changes=small)
         c = _write_counted(out, lambda d: self.store.write_version("silver", spec.name, d), action_col=True)
         self.control.advance_watermark(spec.watermark, batch_ts, self.clock())
         return c["inserted"] + c["updated"]
@@ -175,7 +180,8 @@ class Pipeline:
             out = G.build_dim(changes, cols, idc, key, batch_ts)
         else:
             max_key = existing.agg(F.max(key)).first()[0] or 0
-            out = G.merge_dim(existing, changes, cols, idc, key, upd, cmp_, batch_ts, max_key)
+            out = G.merge_dim(existing, changes, cols, idc, key, upd, cmp_, batch_ts, max_key,
+                              small_changes=is_small(changes))
         c = _write_counted(out, lambda d: self.store.write_version("gold", table, d), action_col=True)
         self.control.advance_watermark(wm_name, batch_ts, self.clock())
         return c["inserted"] + c["updated"]
@@ -189,11 +195,12 @@ class Pipeline:
         payments = self.store.read("silver", "payments_clean")
         dim_c = self.store.read("gold", "dim_customers")
         cal = self.calendar_table()
+        small = wm is not None and is_small(G.changed_since(orders, wm))
         if which == "fact_sales":
             rows = G.fact_sales(items, orders, payments, dim_c, self.store.read("gold", "dim_products"), cal,
-                                wm, existing)
+                                wm, existing, small_delta=small)
         else:
-            rows = G.fact_orders(orders, items, payments, dim_c, cal, wm, existing)
+            rows = G.fact_orders(orders, items, payments, dim_c, cal, wm, existing, small_delta=small)
         if existing is None:
             c = _write_counted(rows, lambda d: self.store.write_version("gold", which, d, FACT_PARTITION))
         else:

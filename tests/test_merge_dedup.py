@@ -57,3 +57,17 @@ def test_dim_updates_only_on_real_change(spark):
     assert out["2"][ACTION] == "update" and out["2"].customer_city == "Santos"
     assert out["3"][ACTION] == "insert" and out["3"].customer_key == 3
     assert sorted(r.customer_key for r in out.values()) == [1, 2, 3]
+
+
+def test_small_delta_path_equals_full_outer(spark):
+    from pyspark.sql import functions as F
+
+    schema = "k string, a string, b string"
+    target = insert_all(spark.createDataFrame([(str(i), f"a{i}", f"b{i}") for i in range(50)] + [(None, "n", "n")],
+                                              schema), ["k", "a", "b"], T1).drop(ACTION)
+    changes = spark.createDataFrame([("3", None, "x"), ("7", "a7", "y"), ("77", "z", "z"), (None, "q", "q")], schema)
+    cond = F.col("t.a").isNull() | F.col("c.a").isNull() | (F.col("t.a") != F.col("c.a"))
+    full = merge(target, changes, ["k"], ["k", "a", "b"], ["a"], T2, matched_condition=cond)
+    small = merge(target, changes, ["k"], ["k", "a", "b"], ["a"], T2, matched_condition=cond, small_changes=True)
+    assert sorted(map(tuple, full.collect()), key=str) == sorted(map(tuple, small.collect()), key=str)
+    assert "SortMergeJoin" not in small._jdf.queryExecution().executedPlan().toString()

@@ -1,7 +1,8 @@
 """Silver layer: trim, type, flag and de-duplicate bronze rows (OP-V01..V05, V08).
 
-Each cleaner is one projection of built-in Column expressions followed by
-``dedup_latest``: keep the newest bronze row per trimmed business key.  The
+Each cleaner filters bronze rows, keeps the newest raw row per cleaned
+business key (``dedup_latest``), then types and flags the survivors with one
+projection of built-in Column expressions.  The
 ``row_number() == 1`` filter plans as a partial ``WindowGroupLimit`` before
 the shuffle, so repeated keys (even a hot key holding a large share of the
 rows) are collapsed map-side before they are exchanged.
@@ -41,79 +42,77 @@ def dedup_latest(df: DataFrame, keys: list[str], raw_columns: tuple[str, ...]) -
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
-def _raw(name: str, key_raw: tuple[str, ...]) -> tuple[str, ...]:
-    """Tie-break columns: raw non-key text in feed order, then the raw keys (differing by blanks only)."""
-    cols = [c for c in SOURCE_COLUMNS[name] if c not in key_raw] + list(key_raw)
-    return tuple("_raw_" + c for c in cols)
+def _dedup_raw(src: DataFrame, name: str, keys: list[Column], key_raw: tuple[str, ...]) -> DataFrame:
+    """Newest raw row per cleaned key.
 
-
-def _with_raw(df: DataFrame, name: str) -> list[Column]:
-    return [F.col(c).alias("_raw_" + c) for c in SOURCE_COLUMNS[name]]
-
-
-def _finish(df: DataFrame, name: str, keys: list[str], key_raw: tuple[str, ...]) -> DataFrame:
-    deduped = dedup_latest(df, keys, _raw(name, key_raw))
-    return deduped.select(*SILVER_SPECS[name].columns)
+    Only the raw text (plus the key and timestamp) crosses the shuffle;
+    parsing and flagging run after the dedup, on the surviving rows only.
+    Tie-break: raw non-key text in feed order, then the raw keys (which may
+    differ by blanks only).
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    keyed = src.select(*[k.alias(n) for k, n in zip(keys, names)], "ingestion_timestamp", *SOURCE_COLUMNS[name])
+    order = [c for c in SOURCE_COLUMNS[name] if c not in key_raw] + list(key_raw)
+    return dedup_latest(keyed, names, tuple(order))
 
 
 def clean_customers(bronze: DataFrame, watermark: dt.datetime | None = None) -> DataFrame:
     src = incremental_filter(bronze, watermark).where(
         F.col("customer_id").isNotNull() & F.col("customer_unique_id").isNotNull()
     )
-    df = src.select(
-        F.trim("customer_id").alias("customer_id"),
+    d = _dedup_raw(src, "customers", [F.trim("customer_id")], ("customer_id",))
+    return d.select(
+        F.col("_k0").alias("customer_id"),
         F.trim("customer_unique_id").alias("customer_unique_id"),
         to_int("customer_zip_code_prefix").alias("customer_zip_code_prefix"),
         first_upper("customer_city").alias("customer_city"),
         F.upper(F.trim("customer_state")).alias("customer_state"),
-        "ingestion_timestamp",
-        *_with_raw(src, "customers"),
     )
-    return _finish(df, "customers", ["customer_id"], ("customer_id",))
 
 
 def clean_orders(bronze: DataFrame, watermark: dt.datetime | None = None) -> DataFrame:
-    dates = Q.order_dates()
     src = incremental_filter(bronze, watermark).where(
         F.col("order_id").isNotNull()
         & F.col("customer_id").isNotNull()
-        & dates["order_purchase_timestamp"].isNotNull()
+        & parse_dmy("order_purchase_timestamp").isNotNull()
     )
+    d = _dedup_raw(src, "orders", [F.trim("order_id")], ("order_id",))
+    dates = Q.order_dates()
     status = Q.order_status("order_status")
     carrier_txt, customer_txt = "order_delivered_carrier_date", "order_delivered_customer_date"
-    df = src.select(
-        F.trim("order_id").alias("order_id"),
+    parsed = d.select(
+        F.col("_k0").alias("order_id"),
         F.trim("customer_id").alias("customer_id"),
         status.alias("order_status"),
         *[c.alias(n) for n, c in dates.items()],
-        "ingestion_timestamp",
         Q.delivery_inconsistent(status, customer_txt).alias("is_delivery_inconsistent"),
         Q.shipped_missing(status, carrier_txt).alias("is_shipped_missing"),
         Q.canceled_in_transit(status, carrier_txt, customer_txt).alias("is_canceled_in_transit"),
         Q.canceled_but_reached(status, carrier_txt, customer_txt).alias("is_canceled_but_reached"),
-        *_with_raw(src, "orders"),
     )
     # Sequence / lateness compare the parsed dates (parsed once above, reused here).
-    df = df.withColumn(
+    return parsed.withColumn(
         "is_invalid_date_sequence",
         Q.invalid_date_sequence(F.col("order_purchase_timestamp"), F.col("order_approved_at"),
                                 F.col("order_delivered_carrier_date"), F.col("order_delivered_customer_date")),
     ).withColumn(
         "is_late_delivery",
         Q.late_delivery(F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")),
-    )
-    return _finish(df, "orders", ["order_id"], ("order_id",))
+    ).select(*SILVER_SPECS["orders"].columns)
 
 
 def clean_order_items(bronze: DataFrame, watermark: dt.datetime | None = None) -> DataFrame:
     src = incremental_filter(bronze, watermark).where(
         F.col("order_id").isNotNull() & to_int("order_item_id").isNotNull() & to_dec("price").isNotNull()
     )
+    # Deduplicated on the typed key ('1' and '01' are one item), as the merge matches on it.
+    d = _dedup_raw(src, "order_items", [F.trim("order_id"), to_int("order_item_id")],
+                   ("order_id", "order_item_id"))
     price = to_dec("price")
     freight = F.coalesce(to_dec("freight_value"), F.lit(0).cast("decimal(10,2)"))
-    df = src.select(
-        F.trim("order_id").alias("order_id"),
-        to_int("order_item_id").alias("order_item_id"),
+    return d.select(
+        F.col("_k0").alias("order_id"),
+        F.col("_k1").alias("order_item_id"),
         F.trim("product_id").alias("product_id"),
         F.trim("seller_id").alias("seller_id"),
         parse_dmy("shipping_limit_date").alias("shipping_limit_date"),
@@ -121,18 +120,15 @@ def clean_order_items(bronze: DataFrame, watermark: dt.datetime | None = None) -
         freight.alias("freight_value"),
         (price + freight).cast("decimal(10,2)").alias("total_item_value"),
         Q.free_shipping("freight_value").alias("is_free_shipping"),
-        "ingestion_timestamp",
-        *_with_raw(src, "order_items"),
     )
-    # Deduplicated on the typed key ('1' and '01' are one item), as the merge matches on it.
-    return _finish(df, "order_items", ["order_id", "order_item_id"], ("order_id", "order_item_id"))
 
 
 def clean_products(bronze: DataFrame, watermark: dt.datetime | None = None) -> DataFrame:
     src = incremental_filter(bronze, watermark).where(F.col("product_id").isNotNull())
+    d = _dedup_raw(src, "products", [F.trim("product_id")], ("product_id",))
     length, height, width = to_dec("product_length_cm"), to_dec("product_height_cm"), to_dec("product_width_cm")
-    df = src.select(
-        F.trim("product_id").alias("product_id"),
+    return d.select(
+        F.col("_k0").alias("product_id"),
         clean_text("product_category_name").alias("product_category_name"),
         to_int("product_name_lenght").alias("product_name_length"),
         to_int("product_description_lenght").alias("product_description_length"),
@@ -144,10 +140,7 @@ def clean_products(bronze: DataFrame, watermark: dt.datetime | None = None) -> D
         (length * height * width).cast("decimal(12,2)").alias("product_volume_cm3"),
         Q.missing_category("product_category_name").alias("is_missing_category"),
         Q.missing_dimensions("product_weight_g").alias("is_missing_dimensions"),
-        "ingestion_timestamp",
-        *_with_raw(src, "products"),
     )
-    return _finish(df, "products", ["product_id"], ("product_id",))
 
 
 def clean_payments(bronze: DataFrame, watermark: dt.datetime | None = None) -> DataFrame:
@@ -156,18 +149,17 @@ def clean_payments(bronze: DataFrame, watermark: dt.datetime | None = None) -> D
         & F.col("payment_sequential").isNotNull()
         & to_int("payment_sequential").isNotNull()
     )
-    df = src.select(
-        F.trim("order_id").alias("order_id"),
-        to_int("payment_sequential").alias("payment_sequential"),
+    d = _dedup_raw(src, "payments", [F.trim("order_id"), to_int("payment_sequential")],
+                   ("order_id", "payment_sequential"))
+    return d.select(
+        F.col("_k0").alias("order_id"),
+        F.col("_k1").alias("payment_sequential"),
         F.lower(F.trim("payment_type")).alias("payment_type"),
         F.coalesce(to_int("payment_installments"), F.lit(1)).alias("payment_installments"),
         F.coalesce(to_dec("payment_value"), F.lit(0).cast("decimal(10,2)")).alias("payment_value"),
         Q.payment_not_defined("payment_type").alias("is_not_defined"),
         Q.payment_zero_value("payment_value").alias("is_zero_value"),
-        "ingestion_timestamp",
-        *_with_raw(src, "payments"),
     )
-    return _finish(df, "payments", ["order_id", "payment_sequential"], ("order_id", "payment_sequential"))
 
 
 CLEANERS = {

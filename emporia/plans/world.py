@@ -21,6 +21,7 @@ from emporia.operators import gold as G
 from emporia.operators.merge import ACTION, insert_all, merge
 from emporia.operators.silver import CLEANERS
 from emporia.schemas import FEEDS, SILVER_SPECS
+from emporia.session import checkpoint_root
 from emporia.sources import derived_feed as feed
 
 # The given orders span 1995-01-01 .. 2001-08-01, outside the default 2016-2020 calendar.
@@ -30,12 +31,24 @@ TS2 = dt.datetime(2024, 1, 2)
 
 
 class World:
+    """``materialize=True``: silver tables and dimensions shared by several facts
+    are computed once and checkpointed (reliable checkpoint in the session's
+    shared checkpoint folder) instead of being recomputed by every branch."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, calendar: tuple[dt.date, dt.date] = DATA_CALENDAR,
-                 batch_ts: dt.datetime = TS1) -> None:
+                 batch_ts: dt.datetime = TS1, materialize: bool = False) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
         self.calendar_range = calendar
         self.batch_ts = batch_ts
+        self.materialize = materialize
+        self._silver: dict[str, DataFrame] = {}
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        checkpoint_root(self.spark)
+        return df.checkpoint(eager=True)
 
     # ---- source and bronze ------------------------------------------------
     def source(self, name: str, batch: int | None = None) -> DataFrame:
@@ -52,7 +65,11 @@ class World:
 
     # ---- silver -----------------------------------------------------------
     def silver(self, name: str, batch: int | None = None) -> DataFrame:
-        return CLEANERS[name](self.bronze(name, batch))
+        if batch is not None:
+            return CLEANERS[name](self.bronze(name, batch))
+        if name not in self._silver:
+            self._silver[name] = self._keep(CLEANERS[name](self.bronze(name)))
+        return self._silver[name]
 
     def silver_upsert(self, name: str) -> DataFrame:
         """Silver of batch 1, then MERGE of the batch-2 extract (matched rows always updated)."""
@@ -68,13 +85,13 @@ class World:
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return G.build_dim(self.silver("customers"), G.DIM_CUSTOMER_COLUMNS, "customer_id", "customer_key",
-                           self.batch_ts).drop(ACTION)
+        return self._keep(G.build_dim(self.silver("customers"), G.DIM_CUSTOMER_COLUMNS, "customer_id",
+                                      "customer_key", self.batch_ts).drop(ACTION))
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return G.build_dim(self.silver("products"), G.DIM_PRODUCT_COLUMNS, "product_id", "product_key",
-                           self.batch_ts).drop(ACTION)
+        return self._keep(G.build_dim(self.silver("products"), G.DIM_PRODUCT_COLUMNS, "product_id",
+                                      "product_key", self.batch_ts).drop(ACTION))
 
     def dim_two_loads(self, which: str) -> DataFrame:
         """Dimension after batch 1, then a snapshot silver of batch 2 merged with change detection."""

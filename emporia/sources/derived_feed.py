@@ -68,7 +68,7 @@ def _finish(df: DataFrame, name: str, k: Column, batch: int | None) -> DataFrame
 
 
 def customers(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", parallel=True)
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     k = F.col("c_custkey")
@@ -89,7 +89,8 @@ def customers(spark: SparkSession, sf_dir: str, batch: int | None = None) -> Dat
 
 
 def orders(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                   parallel=True)
     k, d, st = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")
     m = k % 1440
     status = (
@@ -122,7 +123,7 @@ def orders(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFr
 
 def order_items(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                    "l_extendedprice", "l_tax", "l_shipdate")
+                    "l_extendedprice", "l_tax", "l_shipdate", parallel=True)
     k = F.col("l_orderkey")
     price = F.col("l_extendedprice")
     df = (
@@ -146,7 +147,8 @@ def order_items(spark: SparkSession, sf_dir: str, batch: int | None = None) -> D
 
 
 def products(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
-    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice",
+                   parallel=True)
     k = F.col("p_partkey")
     size = F.col("p_size")
     category = (
@@ -171,7 +173,7 @@ def products(spark: SparkSession, sf_dir: str, batch: int | None = None) -> Data
 
 
 def payments(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice", "o_orderpriority")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice", "o_orderpriority", parallel=True)
     k = F.col("o_orderkey")
     # Up to two payment rows per order: a narrow explode, no join and no shuffle.
     seqs = F.filter(

@@ -9,7 +9,23 @@ DRIVER_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A file written as one row group is read by a single task, so all narrow
+    work before the first shuffle would run on one core.  Large inputs have
+    many splits and pass through untouched (no extra shuffle at scale).
+    Round-robin repartitioning sorts rows first, so a retried task gets the
+    same rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < max(2, cores // 2):
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, parallel: bool = False) -> DataFrame:
     """Read one table; selecting ``columns`` up front keeps the scan's ReadSchema narrow."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df) if parallel else df

@@ -44,7 +44,7 @@ def main() -> None:
     from emporia.sources.csv_feed import read_feed, write_feed
 
     spark = get_session(f"local[{cpus}]", "emporia-bench",
-                        **{"spark.sql.shuffle.partitions": str(max(cpus, 8)),
+                        **{"spark.sql.shuffle.partitions": str(max(cpus * 4, 8)),
                            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
     base = scratch_path(spark, "emporia-bench", new_id())

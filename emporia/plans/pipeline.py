@@ -70,7 +70,8 @@ class Pipeline:
     def __init__(self, spark: SparkSession, root: str, feed_reader: Callable[[str], DataFrame],
                  calendar: tuple[dt.date, dt.date] = G.DEFAULT_CALENDAR,
                  source_system: str = DEFAULT_SOURCE_SYSTEM,
-                 clock: Callable[[], dt.datetime] = _now, parallel_tables: int = 5) -> None:
+                 clock: Callable[[], dt.datetime] = _now, parallel_tables: int = 5,
+                 keep_versions: int = 2) -> None:
         self.spark = spark
         self.store = TableStore(spark, root)
         self.control = Control(spark, self.store)
@@ -79,6 +80,7 @@ class Pipeline:
         self.source_system = source_system
         self.clock = clock
         self.parallel_tables = parallel_tables
+        self.keep_versions = keep_versions
 
     # ---- logging helper ---------------------------------------------------
     def _step(self, run_id: str, name: str, layer: str, load_type: str, fn: Callable[[], int]) -> int:
@@ -242,9 +244,22 @@ class Pipeline:
         self.control.log_event(run_id, log_id, "MAIN_PIPELINE", "all", load_type, "SUCCESS", start, self.clock(),
                                rows=result.total_rows)
         self.control.flush()
+        self.retire_old_versions()
         result.seconds = time.time() - t0
         return result
 
+    def retire_old_versions(self) -> None:
+        """Delete table versions older than the newest ``keep_versions`` (after a successful run).
+
+        Rewrites (source reloads, merges, snapshots) leave the previous version
+        behind; keeping one spare lets readers that started before the run finish.
+        """
+        tables = [("source", n) for n in FEEDS] + [("bronze", n) for n in FEEDS]
+        tables += [("silver", SILVER_SPECS[n].name) for n in FEEDS]
+        tables += [("gold", t) for t in ("dim_customers", "dim_products", "fact_sales", "fact_orders")]
+        for layer, table in tables:
+            self.store.drop_old_versions(layer, table, keep=self.keep_versions)
+
     # ---- report views over the stored gold tables ---------------------------
     def gold(self, table: str) -> DataFrame:
         df = self.store.read("gold", table)

@@ -66,6 +66,14 @@ def dim_date(spark: SparkSession, start: dt.date = DEFAULT_CALENDAR[0],
     )
 
 
+def calendar_range_for(df: DataFrame, ts_col: str) -> tuple[dt.date, dt.date]:
+    """Whole calendar years covering the dates of ``ts_col`` (one aggregate row to the driver)."""
+    row = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
+    if row["lo"] is None:
+        return DEFAULT_CALENDAR
+    return dt.date(row["lo"].year, 1, 1), dt.date(row["hi"].year, 12, 31)
+
+
 # ---- OP-G01 / G02 / G06 ---------------------------------------------------
 def _with_new_keys(rows: DataFrame, id_col: str, key_name: str, start: int) -> DataFrame:
     return surrogate_keys(rows, [id_col], key_name, start=start)

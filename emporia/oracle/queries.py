@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from emporia.oracle.duckdb_sql import (
     CUSTOMER_REVENUE, DELIVERY_QUALITY, FACT_ORDERS_COLS, FACT_SALES_COLS, PRODUCT_PERFORMANCE, SALES_SUMMARY,
-    TS1, _cnt, _dec, _int, _nz, _rate, _ts, bronze_sql, bronze_two_loads_sql, calendar_sql, dim_merge_sql,
+    TS1, _cnt, _dec, _int, _nz, _rate, _ts, bronze_sql, bronze_two_loads_sql, calendar_from_orders_sql, calendar_sql, dim_merge_sql,
     silver_merge_sql, silver_sql, source_sql, with_base,
 )
 
@@ -121,7 +121,7 @@ def oracle_sql() -> dict[str, str]:
     q.update(_dq())
     q["dim_customers"] = dim_merge_sql("customers")
     q["dim_products"] = dim_merge_sql("products")
-    q["dim_date"] = calendar_sql()
+    q["dim_date"] = calendar_from_orders_sql()
     q["fact_sales"] = with_base(f"SELECT {FACT_SALES_COLS} FROM f_sales")
     q["fact_orders"] = with_base(f"SELECT {FACT_ORDERS_COLS} FROM f_orders")
     q["surrogate_keys"] = _union([

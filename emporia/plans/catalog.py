@@ -188,7 +188,9 @@ def dim_products(spark, sf):
 
 
 def dim_date(spark, sf):
-    return _w(spark, sf).dim_date
+    """The calendar over whole years of the warehouse's order dates."""
+    w = _w(spark, sf)
+    return G.dim_date(spark, *G.calendar_range_for(w.silver("orders"), "order_purchase_timestamp"))
 
 
 def fact_sales(spark, sf):

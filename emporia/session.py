@@ -46,9 +46,16 @@ def get_session(master: str | None = None, app_name: str = "emporia", **conf: st
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the correctness settings to an existing session."""
+    """Apply the correctness settings to an existing session.
+
+    In local mode only, a shuffle-partition count still at Spark's default
+    (200) is sized to the machine (4 per core); cluster settings are left alone.
+    """
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(8, 4 * sc.defaultParallelism)))
     return spark
 
 

@@ -11,6 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from emporia.functions.text import clean_text, parse_dmy, to_dec
+from emporia.schemas import (
+    FREE_SHIPPING_TEXTS, PAYMENT_NOT_DEFINED, STATUS_CANCELED, STATUS_DELIVERED, STATUS_SHIPPED,
+    STATUS_UNAVAILABLE,
+)
 
 
 def flag(cond: Column) -> Column:
@@ -23,16 +27,16 @@ def order_status(status: str | Column) -> Column:
 
 
 def delivery_inconsistent(status: Column, customer_date_text: str) -> Column:
-    return flag((status == "DELIVERED") & clean_text(customer_date_text).isNull())
+    return flag((status == STATUS_DELIVERED) & clean_text(customer_date_text).isNull())
 
 
 def shipped_missing(status: Column, carrier_date_text: str) -> Column:
-    return flag(status.isin("SHIPPED", "DELIVERED") & clean_text(carrier_date_text).isNull())
+    return flag(status.isin(STATUS_SHIPPED, STATUS_DELIVERED) & clean_text(carrier_date_text).isNull())
 
 
 def canceled_in_transit(status: Column, carrier_date_text: str, customer_date_text: str) -> Column:
     return flag(
-        status.isin("CANCELED", "UNAVAILABLE")
+        status.isin(STATUS_CANCELED, STATUS_UNAVAILABLE)
         & clean_text(carrier_date_text).isNotNull()
         & clean_text(customer_date_text).isNull()
     )
@@ -40,7 +44,7 @@ def canceled_in_transit(status: Column, carrier_date_text: str, customer_date_te
 
 def canceled_but_reached(status: Column, carrier_date_text: str, customer_date_text: str) -> Column:
     return flag(
-        status.isin("CANCELED", "UNAVAILABLE")
+        status.isin(STATUS_CANCELED, STATUS_UNAVAILABLE)
         & clean_text(carrier_date_text).isNotNull()
         & clean_text(customer_date_text).isNotNull()
     )
@@ -56,7 +60,7 @@ def late_delivery(delivered: Column, estimated: Column) -> Column:
 
 def free_shipping(freight_text: str) -> Column:
     """Textual test: only '0' and '0.0' count; '0.00' does not."""
-    return flag(F.trim(F.col(freight_text)).isin("0", "0.0"))
+    return flag(F.trim(F.col(freight_text)).isin(*FREE_SHIPPING_TEXTS))
 
 
 def missing_category(category_text: str) -> Column:
@@ -69,7 +73,7 @@ def missing_dimensions(weight_text: str) -> Column:
 
 
 def payment_not_defined(type_text: str) -> Column:
-    return flag(F.lower(F.trim(F.col(type_text))) == "not_defined")
+    return flag(F.lower(F.trim(F.col(type_text))) == PAYMENT_NOT_DEFINED)
 
 
 def payment_zero_value(value_text: str) -> Column:

@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.schemas import BRONZE_KEYS, DEFAULT_SOURCE_SYSTEM, SOURCE_COLUMNS
+from emporia.schemas import BRONZE_KEYS, DEFAULT_SOURCE_SYSTEM, LOAD_INCREMENTAL, LOAD_SNAPSHOT, SOURCE_COLUMNS
 
 
 def stamp(source: DataFrame, name: str, batch_ts: dt.datetime,
@@ -41,11 +41,11 @@ def new_rows(source: DataFrame, existing: DataFrame | None, name: str) -> DataFr
 
 
 def load(source: DataFrame, existing: DataFrame | None, name: str, batch_ts: dt.datetime,
-         load_type: str = "incremental", source_system: str = DEFAULT_SOURCE_SYSTEM) -> DataFrame:
+         load_type: str = LOAD_INCREMENTAL, source_system: str = DEFAULT_SOURCE_SYSTEM) -> DataFrame:
     """Rows to append to bronze for one load.
 
     ``snapshot`` (or a first load) appends everything to an emptied table;
     any other load type behaves as incremental.
     """
-    base = None if load_type == "snapshot" else existing
+    base = None if load_type == LOAD_SNAPSHOT else existing
     return stamp(new_rows(source, base, name), name, batch_ts, source_system)

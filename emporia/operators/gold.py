@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from emporia.functions.calendar import date_key, day_name, is_weekend, month_name, week_of_year
 from emporia.operators.merge import ACTION, insert_all, merge, null_safe_differs
 from emporia.operators.ordinals import surrogate_keys
+from emporia.schemas import PAYMENT_UNKNOWN
 
 DEFAULT_CALENDAR = (dt.date(2016, 1, 1), dt.date(2020, 12, 31))
 MAX_CALENDAR_DAYS = 100 * 366  # keeps the broadcast calendar bounded
@@ -199,7 +200,7 @@ def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_cus
         "order_id", "order_item_id", "customer_key", "product_key", "date_key",
         "price", "freight_value", "total_item_value",
         F.coalesce("payment_value", F.lit(0).cast("decimal(10,2)")).alias("payment_value"),
-        F.coalesce("payment_type", F.lit("unknown")).alias("payment_type"),
+        F.coalesce("payment_type", F.lit(PAYMENT_UNKNOWN)).alias("payment_type"),
         F.coalesce("payment_installments", F.lit(1)).alias("payment_installments"),
         "order_status", "is_late_delivery", "is_free_shipping",
         *_date_parts(ts),

@@ -20,7 +20,7 @@ from emporia.operators.merge import ACTION
 from emporia.plans import dashboards as D
 from emporia.plans import reports as R
 from emporia.plans.world import TS1, World
-from emporia.schemas import FEEDS, SILVER_SPECS
+from emporia.schemas import FEEDS, LOAD_SNAPSHOT, PAYMENT_NOT_DEFINED, RUN_MAIN, SILVER_SPECS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,7 +160,7 @@ def dq_profile(spark, sf):
             "as (metric, value)")),
         pay.agg(
             F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.lower(F.trim("payment_type")) == "not_defined").alias("type_not_defined"),
+            F.count_if(F.lower(F.trim("payment_type")) == PAYMENT_NOT_DEFINED).alias("type_not_defined"),
             F.count_if(clean_text("payment_value").isNull()).alias("value_missing"),
             F.count_if(to_dec("payment_value") == 0).alias("zero_value"),
             F.count_if(clean_text("payment_installments").isNull()).alias("installments_missing"),
@@ -425,7 +425,7 @@ def pipeline_runs(spark: SparkSession, sf: str):
         results = [p.run("incremental", TS1)]
         state["batch"] = 2
         results.append(p.run("incremental", dt.datetime(2024, 1, 2)))
-        results.append(p.run("snapshot", dt.datetime(2024, 1, 3)))
+        results.append(p.run(LOAD_SNAPSHOT, dt.datetime(2024, 1, 3)))
         _RUNS[key] = (p, results)
     return _RUNS[key]
 
@@ -433,7 +433,7 @@ def pipeline_runs(spark: SparkSession, sf: str):
 def run_pipeline(spark, sf):
     """Per run: load type, batch time and rows processed (from the runs' log)."""
     p, results = pipeline_runs(spark, sf)
-    return p.control.run_log().where(F.col("pipeline_name") == "MAIN_PIPELINE").select(
+    return p.control.run_log().where(F.col("pipeline_name") == RUN_MAIN).select(
         "run_id", "load_type", "status", "rows_processed", "start_time", "end_time", "duration_seconds")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions.measures import count_when, rate_pct, sum_money
+from emporia.schemas import STATUS_CANCELED, STATUS_UNAVAILABLE
 
 TOP_N = 10
 
@@ -97,8 +98,8 @@ def dq_by_month(delivery_quality: DataFrame) -> DataFrame:
 def cancellations(fact_orders: DataFrame) -> DataFrame:
     st = F.col("order_status")
     return fact_orders.groupBy("order_year", "order_month").agg(
-        count_when(st == "CANCELED").alias("canceled"),
-        count_when(st == "UNAVAILABLE").alias("unavailable"),
+        count_when(st == STATUS_CANCELED).alias("canceled"),
+        count_when(st == STATUS_UNAVAILABLE).alias("unavailable"),
         count_when(F.col("is_canceled_in_transit") == 1).alias("canceled_in_transit"),
         count_when(F.col("is_canceled_but_reached") == 1).alias("canceled_but_reached"),
     )

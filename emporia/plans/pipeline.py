@@ -30,10 +30,13 @@ from emporia.operators.control import Control, new_id
 from emporia.operators.merge import ACTION, insert_all, merge
 from emporia.operators.silver import CLEANERS, incremental_filter
 from emporia.operators.sizing import is_small
-from emporia.schemas import DEFAULT_SOURCE_SYSTEM, FEEDS, SILVER_SPECS
+from emporia.schemas import (
+    DEFAULT_SOURCE_SYSTEM, FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, RUN_BRONZE, RUN_GOLD, RUN_MAIN, RUN_SILVER,
+    RUN_SOURCE, SILVER_SPECS,
+)
 from emporia.sources.store import TableStore
 
-SNAPSHOT = "snapshot"
+SNAPSHOT = LOAD_SNAPSHOT
 BRONZE_PARTITION = "ingestion_date"
 FACT_PARTITION = ["order_year"]
 
@@ -219,29 +222,29 @@ class Pipeline:
                                   lambda f: self._load_fact(f, load_type, batch_ts))
 
     # ---- OP-C08 -----------------------------------------------------------
-    def run(self, load_type: str = "incremental", batch_ts: dt.datetime | None = None) -> RunResult:
+    def run(self, load_type: str = LOAD_INCREMENTAL, batch_ts: dt.datetime | None = None) -> RunResult:
         """Source (always snapshot) -> bronze -> silver -> gold, logged; re-raises on failure."""
         t0 = time.time()
         run_id = new_id()
         batch_ts = batch_ts or self.clock()
         result = RunResult(run_id, load_type, batch_ts)
         log_id, start = new_id(), self.clock()
-        self.control.log_event(run_id, log_id, "MAIN_PIPELINE", "all", load_type, "RUNNING", start)
+        self.control.log_event(run_id, log_id, RUN_MAIN, "all", load_type, "RUNNING", start)
         self.control.flush()
         try:
-            self._step(run_id, "load_source", "source", SNAPSHOT, lambda: self.load_source(result))
-            self._step(run_id, "load_bronze", "bronze", load_type,
+            self._step(run_id, RUN_SOURCE, "source", SNAPSHOT, lambda: self.load_source(result))
+            self._step(run_id, RUN_BRONZE, "bronze", load_type,
                        lambda: self.load_bronze(result, load_type, batch_ts))
-            self._step(run_id, "load_silver", "silver", load_type,
+            self._step(run_id, RUN_SILVER, "silver", load_type,
                        lambda: self.load_silver(result, load_type, batch_ts))
-            self._step(run_id, "load_gold", "gold", load_type, lambda: self.load_gold(result, load_type, batch_ts))
+            self._step(run_id, RUN_GOLD, "gold", load_type, lambda: self.load_gold(result, load_type, batch_ts))
             result.total_rows = self.control.run_rows_total(run_id)
         except Exception as e:
-            self.control.log_event(run_id, log_id, "MAIN_PIPELINE", "all", load_type, "FAILED", start,
+            self.control.log_event(run_id, log_id, RUN_MAIN, "all", load_type, "FAILED", start,
                                    self.clock(), error=str(e))
             self.control.flush()
             raise
-        self.control.log_event(run_id, log_id, "MAIN_PIPELINE", "all", load_type, "SUCCESS", start, self.clock(),
+        self.control.log_event(run_id, log_id, RUN_MAIN, "all", load_type, "SUCCESS", start, self.clock(),
                                rows=result.total_rows)
         self.control.flush()
         self.retire_old_versions()

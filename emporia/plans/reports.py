@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from emporia.functions.measures import AVG_MONEY, count_when, rate_pct, sum_money
 from emporia.operators.ordinals import global_rank
+from emporia.schemas import CUSTOMER_ONE_TIME, CUSTOMER_REPEAT, STATUS_DELIVERED
 
 
 def _avg(total: str, count: str):
@@ -46,7 +47,7 @@ def sales_summary(fact_sales: DataFrame, dim_date: DataFrame, fact_orders: DataF
     )
     j = per_order.join(fo, "order_id", "left")
     lines = F.col("lines")
-    delivered = (F.col("order_status") == "DELIVERED") & (F.col("is_delivery_inconsistent") == 0)
+    delivered = (F.col("order_status") == STATUS_DELIVERED) & (F.col("is_delivery_inconsistent") == 0)
     valid_seq = F.col("is_invalid_date_sequence") == 0
 
     def lines_when(cond):
@@ -138,13 +139,13 @@ def customer_revenue(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFr
         F.datediff("last_order_date", "first_order_date").alias("customer_lifespan_days"),
         "late_delivery_count", "inconsistent_delivery_count", "canceled_in_transit_count",
         "canceled_but_reached_count",
-        F.when(F.col("total_orders") > 1, "Repeat").otherwise("One-Time").alias("customer_type"),
+        F.when(F.col("total_orders") > 1, CUSTOMER_REPEAT).otherwise(CUSTOMER_ONE_TIME).alias("customer_type"),
     )
 
 
 def delivery_quality(fact_orders: DataFrame) -> DataFrame:
     """Monthly order-grain delivery quality counts and late rate."""
-    delivered = F.col("order_status") == "DELIVERED"
+    delivered = F.col("order_status") == STATUS_DELIVERED
     consistent = F.col("is_delivery_inconsistent") == 0
     valid_seq = F.col("is_invalid_date_sequence") == 0
     agg = fact_orders.groupBy("order_year", "order_month").agg(

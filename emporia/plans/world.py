@@ -20,7 +20,7 @@ from emporia.operators import bronze as B
 from emporia.operators import gold as G
 from emporia.operators.merge import ACTION, insert_all, merge
 from emporia.operators.silver import CLEANERS
-from emporia.schemas import FEEDS, SILVER_SPECS
+from emporia.schemas import FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, SILVER_SPECS
 from emporia.session import checkpoint_root
 from emporia.sources import derived_feed as feed
 
@@ -59,8 +59,8 @@ class World:
 
     def bronze_two_loads(self, name: str) -> DataFrame:
         """Bronze after a first load (batch 1) and an incremental load of the full batch-2 extract."""
-        first = B.load(self.source(name, 1), None, name, TS1, "snapshot", feed.FIXTURE_SOURCE_SYSTEM)
-        second = B.load(self.source(name, 2), first, name, TS2, "incremental", feed.FIXTURE_SOURCE_SYSTEM)
+        first = B.load(self.source(name, 1), None, name, TS1, LOAD_SNAPSHOT, feed.FIXTURE_SOURCE_SYSTEM)
+        second = B.load(self.source(name, 2), first, name, TS2, LOAD_INCREMENTAL, feed.FIXTURE_SOURCE_SYSTEM)
         return first.unionByName(second)
 
     # ---- silver -----------------------------------------------------------

@@ -59,7 +59,25 @@ BRONZE_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 BRONZE_AUDIT = ("ingestion_timestamp", "source_system")
+
+# ---- Fixed values: these must equal the reference's words exactly. ----------
 DEFAULT_SOURCE_SYSTEM = "olist_csv"
+STATUS_DELIVERED = "DELIVERED"
+STATUS_SHIPPED = "SHIPPED"
+STATUS_CANCELED = "CANCELED"
+STATUS_UNAVAILABLE = "UNAVAILABLE"
+PAYMENT_NOT_DEFINED = "not_defined"
+PAYMENT_UNKNOWN = "unknown"
+FREE_SHIPPING_TEXTS = ("0", "0.0")
+CUSTOMER_REPEAT = "Repeat"
+CUSTOMER_ONE_TIME = "One-Time"
+LOAD_SNAPSHOT = "snapshot"
+LOAD_INCREMENTAL = "incremental"
+RUN_MAIN = "MAIN_PIPELINE"
+RUN_SOURCE = "load_source"
+RUN_BRONZE = "load_bronze"
+RUN_SILVER = "load_silver"
+RUN_GOLD = "load_gold"
 
 FEEDS = tuple(SOURCE_COLUMNS)
 

@@ -73,6 +73,7 @@ def customers(spark: SparkSession, sf_dir: str, batch: int | None = None) -> Dat
     r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     k = F.col("c_custkey")
     city = F.concat(F.lit(" "), F.lower("n_name"), F.lit(" "))
+    # nation (25 rows) and region (5 rows) have fixed sizes in this schema: safe to broadcast.
     df = (
         c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
         .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)

@@ -52,6 +52,22 @@ def rows_of(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "double": "DOUBLE", "smallint": "SMALLINT"}
+
+
+def duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    return SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
+def type_diffs(df, con, sql):
+    got = dict(df.dtypes)
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (duck_type(t), want.get(c)) for c, t in got.items() if duck_type(t) != want.get(c)}
+
+
 def compare(spark, con, sf_dir, key, fn, sql):
     t = time.time()
     df = fn(spark, sf_dir)
@@ -66,8 +82,11 @@ def compare(spark, con, sf_dir, key, fn, sql):
     ok_cols = sorted(s_cols) == sorted(d_cols)
     ok_n = len(s_rows) == len(d_rows)
     ok_v = ok_cols and ok_n and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
-    status = "OK " if ok_v else "BAD"
+    types = type_diffs(df, con, sql)
+    status = "OK " if ok_v and not types else "BAD"
     msg = f"{status} {key:30s} rows spark={len(s_rows)} duck={len(d_rows)} cols={'ok' if ok_cols else 'DIFF'} {ts:5.1f}s"
+    if types:
+        msg += f"\n     type differences (spark, duck): {types}"
     if not ok_cols:
         msg += f"\n     spark={sorted(s_cols)}\n     duck ={sorted(d_cols)}"
     elif not ok_v:

@@ -97,3 +97,28 @@ def test_rate_pct(spark):
     df = spark.createDataFrame([(1, 3), (2, 3), (0, 0), (20, 1), (1, 8)], "n long, d long")
     got = [r.r for r in df.select(rate_pct(F.col("n"), F.col("d")).alias("r")).collect()]
     assert [None if g is None else str(g) for g in got] == ["33.33", "66.67", None, None, "12.50"]
+
+
+def test_rate_and_average_match_decimal_half_up(spark):
+    """Exact integer rate and decimal average against Python's Decimal arithmetic, random inputs."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from emporia.functions.measures import avg_money
+
+    rnd = random.Random(11)
+    pairs = [(rnd.randint(0, 10**7), rnd.randint(1, 10**7)) for _ in range(2000)]
+    pairs += [(1, 8), (3, 8), (5, 8), (1, 3), (2, 3), (0, 5), (999, 100)]
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = {(r.n, r.d): r.r for r in df.select("n", "d", rate_pct(F.col("n"), F.col("d")).alias("r")).collect()}
+    for n, d in pairs:
+        want = (Decimal(n) * 100 / Decimal(d)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert got[(n, d)] == (want if want < 1000 else None), (n, d)
+
+    vals = [Decimal(rnd.randint(0, 10**9)) / 100 for _ in range(997)]
+    g = spark.createDataFrame([(i % 7, v) for i, v in enumerate(vals)], "g int, v decimal(10,2)")
+    out = {r.g: r.a for r in g.groupBy("g").agg(avg_money("v").alias("a")).collect()}
+    for k in range(7):
+        part = [v for i, v in enumerate(vals) if i % 7 == k]
+        want = (sum(part) / len(part)).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+        assert out[k] == want

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from emporia.functions.calendar import date_key, day_name, is_weekend, month_name, week_of_year
 from emporia.operators.merge import ACTION, insert_all, merge, null_safe_differs
 from emporia.operators.ordinals import surrogate_keys
+from emporia.session import checkpoint_root
 from emporia.schemas import PAYMENT_UNKNOWN
 
 DEFAULT_CALENDAR = (dt.date(2016, 1, 1), dt.date(2020, 12, 31))
@@ -149,6 +150,21 @@ def _calendar_lookup(df: DataFrame, calendar: DataFrame) -> DataFrame:
     return df.join(cal, probe == F.col("_cal_key"), "left").withColumnRenamed("_cal_key", "date_key")
 
 
+# ---- OP-G06 for facts -----------------------------------------------------
+def with_fact_keys(rows: DataFrame, key_name: str, id_cols: list[str], start: int,
+                   batch_ts: dt.datetime) -> DataFrame:
+    """Identity key (``start + 1 ..``) and load time for newly inserted fact rows.
+
+    The key helper reads its input twice (per-bucket numbering and counts), so
+    the new rows are checkpointed once to the shared checkpoint folder rather
+    than recomputing the fact joins.
+    """
+    checkpoint_root(rows.sparkSession)
+    rows = rows.checkpoint(eager=True)
+    keyed = surrogate_keys(rows, id_cols, key_name, start=start)
+    return keyed.select(key_name, *rows.columns, F.lit(batch_ts).cast("timestamp_ntz").alias("created_at"))
+
+
 # ---- OP-G04 ---------------------------------------------------------------
 FACT_SALES_COLUMNS = [
     "order_id", "order_item_id", "customer_key", "product_key", "date_key", "price", "freight_value",

@@ -206,6 +206,13 @@ class Pipeline:
                                 wm, existing, small_delta=small)
         else:
             rows = G.fact_orders(orders, items, payments, dim_c, cal, wm, existing, small_delta=small)
+        if which == "fact_sales":
+            key, ids = "sales_key", ["order_id", "order_item_id"]
+        else:
+            key, ids = "order_key", ["order_id"]
+        # Identity keys continue after the stored maximum; a truncating snapshot restarts them at 1.
+        start = 0 if existing is None else (existing.agg(F.max(key)).first()[0] or 0)
+        rows = G.with_fact_keys(rows, key, ids, start, batch_ts)
         if existing is None:
             c = _write_counted(rows, lambda d: self.store.write_version("gold", which, d, FACT_PARTITION))
         else:

@@ -7,11 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 STR = T.StringType()
-INT = T.IntegerType()
 LONG = T.LongType()
-MONEY = T.DecimalType(10, 2)
-VOLUME = T.DecimalType(12, 2)
-RATE = T.DecimalType(5, 2)
 TS = T.TimestampNTZType()
 DATE = T.DateType()
 
@@ -58,8 +54,6 @@ BRONZE_KEYS: dict[str, tuple[str, ...]] = {
     "payments": ("order_id", "payment_sequential"),
 }
 
-BRONZE_AUDIT = ("ingestion_timestamp", "source_system")
-
 # ---- Fixed values: these must equal the reference's words exactly. ----------
 DEFAULT_SOURCE_SYSTEM = "olist_csv"
 STATUS_DELIVERED = "DELIVERED"
@@ -155,8 +149,6 @@ SILVER_SPECS: dict[str, SilverSpec] = {
     ),
 }
 
-AUDIT_COLUMNS = ("created_at", "updated_at")
-
 # Watermark names seeded by the reference setup script (fixed values).
 WATERMARK_NAMES = (
     "bronze_customers", "bronze_orders", "bronze_order_items", "bronze_products", "bronze_payments",

@@ -8,8 +8,6 @@ used by tests and the bench.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on for correct results (not tunables).
@@ -80,6 +78,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
     return "/".join([checkpoint_root(spark), *[p.strip("/") for p in parts]])
 
-
-def local_cpu_count() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-DRIVER_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-)
-
 
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.

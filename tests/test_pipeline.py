@@ -88,3 +88,17 @@ def test_failure_keeps_previous_version(runs, spark):
     assert p.gold("fact_orders").count() == before
     failed = p.control.run_log().where("status = 'FAILED'").collect()
     assert {r.pipeline_name for r in failed} >= {"MAIN_PIPELINE", "load_source"}
+
+
+def test_gold_table_contracts(runs):
+    from emporia.operators.gold import FACT_ORDERS_COLUMNS, FACT_SALES_COLUMNS
+
+    p, *_ = runs
+    # order_year is the partition column, so it is read back last; the column set is the contract.
+    assert sorted(p.gold("fact_sales").columns) == sorted(["sales_key", *FACT_SALES_COLUMNS, "created_at"])
+    assert sorted(p.gold("fact_orders").columns) == sorted(["order_key", *FACT_ORDERS_COLUMNS, "created_at"])
+    for table, key in (("fact_sales", "sales_key"), ("fact_orders", "order_key")):
+        df = p.gold(table)
+        n = df.count()
+        # dense 1..N after the snapshot reload, unique
+        assert df.agg(F.min(key), F.max(key), F.count_distinct(key)).first() == (1, n, n)

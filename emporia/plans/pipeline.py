@@ -84,18 +84,29 @@ class Pipeline:
         self.clock = clock
         self.parallel_tables = parallel_tables
         self.keep_versions = keep_versions
+        self._watermarks: dict[str, dt.datetime | None] | None = None
+
+    def _watermark(self, name: str) -> dt.datetime | None:
+        """Watermark as of the start of the current layer step (one read per step)."""
+        if self._watermarks is not None:
+            return self._watermarks.get(name)
+        return self.control.read_watermark(name)
 
     # ---- logging helper ---------------------------------------------------
     def _step(self, run_id: str, name: str, layer: str, load_type: str, fn: Callable[[], int]) -> int:
         log_id, start = new_id(), self.clock()
         self.control.log_event(run_id, log_id, name, layer, load_type, "RUNNING", start)
         try:
+            # Each layer advances only its own watermarks, so a snapshot taken here stays valid.
+            self._watermarks = self.control.current_watermarks()
             rows = fn()
         except Exception as e:
             self.control.log_event(run_id, log_id, name, layer, load_type, "FAILED", start, self.clock(),
                                    error=str(e))
             self.control.flush()
             raise
+        finally:
+            self._watermarks = None
         self.control.log_event(run_id, log_id, name, layer, load_type, "SUCCESS", start, self.clock(), rows=rows)
         self.control.flush()
         return rows
@@ -137,7 +148,7 @@ class Pipeline:
         spec = SILVER_SPECS[name]
         target = None if load_type == SNAPSHOT else self.store.read("silver", spec.name)
         # A missing table means "no watermark" (a dropped table is fully reloaded).
-        wm = self.control.read_watermark(spec.watermark) if target is not None else None
+        wm = self._watermark(spec.watermark) if target is not None else None
         bronze = self.store.read("bronze", name)
         if wm is not None:
             # Partition pruning on the ingestion date, then the exact timestamp test.
@@ -179,7 +190,7 @@ class Pipeline:
         wm_name = f"gold_{table}"
         # Dimensions are never truncated, not even by a snapshot run.
         existing = self.store.read("gold", table)
-        wm = None if load_type == SNAPSHOT else self.control.read_watermark(wm_name)
+        wm = None if load_type == SNAPSHOT else self._watermark(wm_name)
         changes = G.changed_since(self.store.read("silver", silver_name), wm)
         if existing is None:
             out = G.build_dim(changes, cols, idc, key, batch_ts)
@@ -194,7 +205,7 @@ class Pipeline:
     def _load_fact(self, which: str, load_type: str, batch_ts: dt.datetime) -> int:
         wm_name = f"gold_{which}"
         existing = None if load_type == SNAPSHOT else self.store.read("gold", which)
-        wm = None if existing is None else self.control.read_watermark(wm_name)
+        wm = None if existing is None else self._watermark(wm_name)
         items = self.store.read("silver", "order_items_clean")
         orders = self.store.read("silver", "orders_clean")
         payments = self.store.read("silver", "payments_clean")

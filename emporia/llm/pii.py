@@ -7,7 +7,9 @@ or 1): the strict pattern, a gazetteer (mail domains' endings, card issuers,
 reserved networks, dialling codes), the words before the candidate, and its
 shape.  Expectation-maximisation over the counts of vote patterns estimates how
 reliable each labeler is; its posteriors train a logistic span classifier.  The
-classifier decides on the loose candidates; base spans stay in any case.
+classifier decides on the loose candidates; base spans stay in any case, and a
+strict match that failed its check digits or ranges is evidence for the model but
+is never added.
 
 The model sees only a table of vote patterns (kinds x 3^4 rows at most), so
 fitting costs the same whatever the corpus.  Patterns are anchored at the start
@@ -113,7 +115,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     def voted(p: str) -> str:
         k = KIND_OF[p]
         keep = f"x -> {PASSES[p]} OR length({_DIGITS}) BETWEEN 12 AND 19" if p == "card" else "x -> true"
-        return f"""transform(filter({p}, {keep}), x -> named_struct('kind', '{k}', 's', x.s, 'e', x.e, 'base', {PASSES[p]},
+        return f"""transform(filter({p}, {keep}), x -> named_struct('kind', '{k}', 's', x.s, 'e', x.e, 'base', {PASSES[p]}, 'loose', {str(p != k).lower()},
             'v1', CASE WHEN {PASSES[p]} THEN 1 ELSE -1 END, 'v2', {GAZETTEER[k]},
             'v3', CASE WHEN x.c rlike '({CONTEXT[k]})' THEN 1 ELSE 0 END, 'v4', {SHAPE[k]}))"""
 
@@ -189,6 +191,6 @@ def detect(docs: DataFrame) -> DataFrame:
     patterns = [r.asDict() for r in votes]
     weights = train(patterns, estimate(patterns))
     spans = found.select("doc_id", F.expr("filter(found, x -> x.base)").alias("base"),
-                         F.expr(f"filter(found, x -> x.base OR ({_score(weights)}) >= 0D)").alias("all"))
+                         F.expr(f"filter(found, x -> x.base OR x.loose AND ({_score(weights)}) >= 0D)").alias("all"))
     return spans.select("doc_id", *[F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in KINDS],
                         _joined("base").alias("base"), _joined("all").alias("spans"))

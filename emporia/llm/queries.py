@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe, chat, decontaminate, exact_dedup, html_wrapper, minhash, pii, quality, secrets
+from emporia.llm import bpe, chat, decontaminate, exact_dedup, html_wrapper, minhash, pii, quality, repeats, secrets
 from emporia.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def op1_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan_documents(read(spark, sf, "documents", "doc_id", "text"))
 
 
+def op2_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove(read(spark, sf, "documents", "doc_id", "text"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     got = exact_dedup.classes(read(spark, sf, "documents", "doc_id", "text"))
     return got.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
@@ -66,7 +70,7 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_secrets, op3_exact_dedup, op4_decontaminate, op5_minhash, op6_html, op7_quality, op8_pii, op9_chat, op10_bpe)}
+    return {f.__name__: f for f in (op1_secrets, op2_repeats, op3_exact_dedup, op4_decontaminate, op5_minhash, op6_html, op7_quality, op8_pii, op9_chat, op10_bpe)}
 
 
 # ---- DuckDB SQL, where SQL expresses the whole query ----

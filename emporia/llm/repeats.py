@@ -232,7 +232,8 @@ def remove(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     texts = docs.select("doc_id", F.xxhash64(text).alias("tk"), text.alias("text"))
     segments = written(spark, _segments(texts), "repeat-segments")
-    often = segments.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    # Written, so that the join below has an exchange of its own and a hot gram's partition can be split.
+    often = written(spark, segments.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "repeat-often")
     shared = written(spark, segments.join(often, "h", "left_semi"), "repeat-shared")
     groups = written(spark, shared.groupBy("h", "d").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "lo", "hi", "at")).alias("one")), "repeat-groups")
     differing = written(spark, groups.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")

@@ -195,7 +195,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                                                                    F.first("seq").alias("seq")), "near-reps")
     rows = reps.where("seq <> 0").select(F.col("rep").alias("doc_id"), F.posexplode("bands").alias("band", "key")).select(
         "doc_id", F.xxhash64("band", "key").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1")
+    # Tables that join on band keys are written first: each side then has its own exchange and a hot key can be split.
+    shared = written(spark, rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1"), "near-shared")
     members = written(spark, rows.join(shared, "key"), "near-members")
     wanted = members.select("doc_id").distinct()
     bags = written(spark, multisets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-bags")
@@ -208,14 +209,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         # Bands that hold more than one class; each takes its next hubs.
         placed = members.select("key", "doc_id", "n").join(comp, "doc_id", "left").select(
             "key", "doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
-        split = placed.groupBy("key").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"), F.count("*").alias("size")).where("lo <> hi").where(F.col("size") > hubs_from).select("key")
+        split = written(spark, placed.groupBy("key").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"), F.count("*").alias("size")).where("lo <> hi").where(F.col("size") > hubs_from).select("key"), f"near-split{hubs_from}")
         open_rows = written(spark, placed.join(split, "key", "left_semi"), f"near-open{hubs_from}")
         if open_rows.isEmpty():
             break
         # The next hubs of a band in the order of doc_id; the rank limit cuts each map task's rows before the shuffle.
         rank = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
-        chosen = open_rows.withColumn("rank", rank).where(F.col("rank") <= hubs_from + hubs).where(F.col("rank") > hubs_from).select(
-            "key", F.col("doc_id").alias("hub"), F.col("class_id").alias("hub_class"))
+        chosen = written(spark, open_rows.withColumn("rank", rank).where(F.col("rank") <= hubs_from + hubs).where(F.col("rank") > hubs_from).select(
+            "key", F.col("doc_id").alias("hub"), F.col("class_id").alias("hub_class")), f"near-hubs{hubs_from}")
         tries = open_rows.join(chosen, "key").where("class_id <> hub_class").select(
             F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
         tries = tries.join(pairs, ["a", "b"], "left_anti")

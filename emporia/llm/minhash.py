@@ -12,10 +12,10 @@ logarithm of their counts.
 
 Signatures are banded (32 bands of 4: a pair at the threshold is missed with
 probability 5e-8).  Within a band every document is compared with a hub, not
-with every other one; bands whose documents do not end in one class take
-further hubs, twice as many each round, until each band is one class or all its
-pairs were compared.  Every link is verified on the multisets themselves.
-Classes are the connected components of the links.
+with every other one; the documents of bands that do not end in one class are
+then joined exactly on their rarest grams (``prefix_pairs``).  Every link is
+verified on the multisets themselves.  Classes are the connected components of
+the links.
 
 Documents with the same word sequence are one node from the start.  Documents
 without words (null, empty, signs only) are classes of one.  Ties keep the
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm.common import as_bytes, batch_words, splitmix, written
@@ -185,6 +185,45 @@ def components(links: DataFrame) -> DataFrame:
         label = step.select("a", "l")
 
 
+def prefix_pairs(open_docs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different classes that share a gram among their rarest.
+
+    With the grams of every document ordered by how many documents hold them, two
+    multisets of similarity ``threshold`` share a gram among the first
+    ``size - ceil(threshold * size) + 1`` of either: no link is lost.  A copy with many
+    edits has only grams of its own there and makes no pair.  Within a gram's
+    documents only those outside its largest class are compared, with all others.
+    """
+    spark = open_docs.sparkSession
+    grams = open_docs.join(bags, "doc_id").select("doc_id", "class_id", F.expr("aggregate(counts, 0L, (a, c) -> a + c)").alias("size"),
+                                                  F.explode(F.arrays_zip("grams", "counts")).alias("g")).select(
+        "doc_id", "class_id", "size", F.col("g.grams").alias("gram"), F.col("g.counts").alias("n"))
+    grams = written(spark, grams, "near-grams")
+    often = written(spark, grams.groupBy("gram").agg(F.count("*").alias("df")), "near-df")
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for doc, cls, size, rows in zip(b["doc_id"], b["class_id"], b["size"], b["rows"], strict=True):
+                wanted, some = size - int(np.ceil(threshold * size - 1e-9)) + 1, []
+                for r in rows:  # rarest first
+                    if r["df"] > 1:
+                        some.append(r["gram"])
+                    wanted -= r["n"]
+                    if wanted <= 0:
+                        break
+                yield pd.DataFrame({"gram": some, "doc_id": doc, "class_id": cls, "size": size}).astype("int64")
+
+    rarest = grams.join(often, "gram").groupBy("doc_id", "class_id", "size").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "n"))).alias("rows"))
+    postings = written(spark, rarest.mapInPandas(first, "gram long, doc_id long, class_id long, size long"), "near-postings")
+    main = written(spark, postings.groupBy("gram", "class_id").agg(F.count("*").alias("n")).groupBy("gram").agg(
+        F.max_by("class_id", F.struct("n", "class_id")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("gram", "main"), "near-main")
+    mixed = written(spark, postings.join(main, "gram"), "near-mixed")
+    one = mixed.where("class_id <> main").select("gram", F.col("doc_id").alias("x"), F.col("class_id").alias("cx"), F.col("size").alias("sx"))
+    two = mixed.select("gram", F.col("doc_id").alias("y"), F.col("class_id").alias("cy"), F.col("size").alias("sy"))
+    near = (F.col("cx") != F.col("cy")) & (F.col("sx") >= threshold * F.col("sy") - 1e-9) & (F.col("sy") >= threshold * F.col("sx") - 1e-9)
+    return one.join(two, (one["gram"] == two["gram"]) & near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its class), class_size."""
     spark = docs.sparkSession
@@ -196,35 +235,25 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = reps.where("seq <> 0").select(F.col("rep").alias("doc_id"), F.posexplode("bands").alias("band", "key")).select(
         "doc_id", F.xxhash64("band", "key").alias("key"))
     # Tables that join on band keys are written first: each side then has its own exchange and a hot key can be split.
-    shared = written(spark, rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1"), "near-shared")
+    shared = written(spark, rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-shared")
     members = written(spark, rows.join(shared, "key"), "near-members")
     wanted = members.select("doc_id").distinct()
     bags = written(spark, multisets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-bags")
 
-    pairs = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    # The hub of a band is its member with the most company over all its bands, most likely the common original.
+    company = members.groupBy("doc_id").agg(F.sum("n").alias("company"))
+    central = written(spark, members.join(company, "doc_id").groupBy("key").agg(F.max_by("doc_id", F.struct("company", F.col("doc_id"))).alias("hub")), "near-hubs")
+    pairs = members.join(central, "key").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = written(spark, verified(pairs, bags, threshold), "near-links")
     comp = components(links)
-    hubs_from, hubs = 1, 2
-    while True:
-        # Bands that hold more than one class; each takes its next hubs.
-        placed = members.select("key", "doc_id", "n").join(comp, "doc_id", "left").select(
-            "key", "doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
-        split = written(spark, placed.groupBy("key").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"), F.count("*").alias("size")).where("lo <> hi").where(F.col("size") > hubs_from).select("key"), f"near-split{hubs_from}")
-        open_rows = written(spark, placed.join(split, "key", "left_semi"), f"near-open{hubs_from}")
-        if open_rows.isEmpty():
-            break
-        # The next hubs of a band in the order of doc_id; the rank limit cuts each map task's rows before the shuffle.
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
-        chosen = written(spark, open_rows.withColumn("rank", rank).where(F.col("rank") <= hubs_from + hubs).where(F.col("rank") > hubs_from).select(
-            "key", F.col("doc_id").alias("hub"), F.col("class_id").alias("hub_class")), f"near-hubs{hubs_from}")
-        tries = open_rows.join(chosen, "key").where("class_id <> hub_class").select(
-            F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
-        tries = tries.join(pairs, ["a", "b"], "left_anti")
-        found = written(spark, verified(tries, bags, threshold), f"near-links{hubs_from}")
+    # Bands that still hold more than one class: an exact join of their documents on rare grams finds what the hubs missed.
+    placed = members.select("key", "doc_id").join(comp, "doc_id", "left").select("key", "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    split = written(spark, placed.groupBy("key").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo <> hi").select("key"), "near-split")
+    left_open = written(spark, placed.join(split, "key", "left_semi").select("doc_id", "class_id").distinct(), "near-open")
+    if not left_open.isEmpty():
+        found = written(spark, verified(prefix_pairs(left_open, bags, threshold), bags, threshold), "near-links")
         if not found.isEmpty():
-            links = links.unionByName(found)
-            comp = components(links)
-        hubs_from, hubs = hubs_from + hubs, hubs * 2
+            comp = components(links.unionByName(found))
     named = reps.join(comp.withColumnRenamed("doc_id", "rep"), "rep", "left").select("node", F.coalesce("class_id", "rep").alias("class_id"))
     named = written(spark, named, "near-named")
     placed = written(spark, all_nodes.select("doc_id", node.alias("node")).join(named, "node").select("doc_id", "class_id"), "near-placed")

@@ -190,37 +190,43 @@ def prefix_pairs(open_docs: DataFrame, bags: DataFrame, threshold: float) -> Dat
 
     With the grams of every document ordered by how many documents hold them, two
     multisets of similarity ``threshold`` share a gram among the first
-    ``size - ceil(threshold * size) + 1`` of either: no link is lost.  A copy with many
-    edits has only grams of its own there and makes no pair.  Within a gram's
+    ``size - ceil(threshold * size) + 1`` of either, and at the first one both have
+    enough left for the overlap: no link is lost.  A copy with many edits has only grams of its own there and makes no pair.  Within a gram's
     documents only those outside its largest class are compared, with all others.
     """
     spark = open_docs.sparkSession
-    grams = open_docs.join(bags, "doc_id").select("doc_id", "class_id", F.expr("aggregate(counts, 0L, (a, c) -> a + c)").alias("size"),
-                                                  F.explode(F.arrays_zip("grams", "counts")).alias("g")).select(
-        "doc_id", "class_id", "size", F.col("g.grams").alias("gram"), F.col("g.counts").alias("n"))
+    def flat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for doc, cls, grams, counts in zip(b["doc_id"], b["class_id"], b["grams"], b["counts"], strict=True):
+                yield pd.DataFrame({"doc_id": doc, "class_id": cls, "size": int(counts.sum()), "gram": grams, "n": counts})
+
+    grams = open_docs.join(bags, "doc_id").select("doc_id", "class_id", "grams", "counts").mapInPandas(
+        flat, "doc_id long, class_id long, size long, gram long, n int")
     grams = written(spark, grams, "near-grams")
     often = written(spark, grams.groupBy("gram").agg(F.count("*").alias("df")), "near-df")
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for doc, cls, size, rows in zip(b["doc_id"], b["class_id"], b["size"], b["rows"], strict=True):
-                wanted, some = size - int(np.ceil(threshold * size - 1e-9)) + 1, []
-                for r in rows:  # rarest first
-                    if r["df"] > 1:
-                        some.append(r["gram"])
-                    wanted -= r["n"]
-                    if wanted <= 0:
+                last, at, some = size - int(np.ceil(threshold * size - 1e-9)), 0, []
+                for r in rows:  # rarest first; ``at`` counts the elements before a gram
+                    if at > last:
                         break
-                yield pd.DataFrame({"gram": some, "doc_id": doc, "class_id": cls, "size": size}).astype("int64")
+                    if r["df"] > 1:
+                        some.append((r["gram"], doc, cls, size, at))
+                    at += r["n"]
+                yield pd.DataFrame(some, columns=["gram", "doc_id", "class_id", "size", "at"]).astype("int64")
 
     rarest = grams.join(often, "gram").groupBy("doc_id", "class_id", "size").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "n"))).alias("rows"))
-    postings = written(spark, rarest.mapInPandas(first, "gram long, doc_id long, class_id long, size long"), "near-postings")
+    postings = written(spark, rarest.mapInPandas(first, "gram long, doc_id long, class_id long, size long, at long"), "near-postings")
     main = written(spark, postings.groupBy("gram", "class_id").agg(F.count("*").alias("n")).groupBy("gram").agg(
         F.max_by("class_id", F.struct("n", "class_id")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("gram", "main"), "near-main")
     mixed = written(spark, postings.join(main, "gram"), "near-mixed")
-    one = mixed.where("class_id <> main").select("gram", F.col("doc_id").alias("x"), F.col("class_id").alias("cx"), F.col("size").alias("sx"))
-    two = mixed.select("gram", F.col("doc_id").alias("y"), F.col("class_id").alias("cy"), F.col("size").alias("sy"))
-    near = (F.col("cx") != F.col("cy")) & (F.col("sx") >= threshold * F.col("sy") - 1e-9) & (F.col("sy") >= threshold * F.col("sx") - 1e-9)
+    one = mixed.where("class_id <> main").select("gram", F.col("doc_id").alias("x"), F.col("class_id").alias("cx"), F.col("size").alias("sx"), F.col("at").alias("ax"))
+    two = mixed.select("gram", F.col("doc_id").alias("y"), F.col("class_id").alias("cy"), F.col("size").alias("sy"), F.col("at").alias("ay"))
+    # At the first gram that a similar pair shares, what follows on either side still holds the overlap needed.
+    needed = threshold / (1 + threshold) * (F.col("sx") + F.col("sy")) - 1e-9
+    near = (F.col("cx") != F.col("cy")) & (F.least(F.col("sx") - F.col("ax"), F.col("sy") - F.col("ay")) >= needed)
     return one.join(two, (one["gram"] == two["gram"]) & near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

@@ -33,12 +33,12 @@ from emporia.llm.common import written
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 PATTERNS = {
-    "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)+",
+    "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@{_LABEL}++(?:\.{_LABEL}++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "loose_phone": r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])",
-    "loose_email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++\x20?(?:\[at\]|\(at\))\x20?{_LABEL}++(?:\x20?(?:\[dot\]|\(dot\)|\.)\x20?{_LABEL}++)+",
+    "loose_email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++\x20?(?:\[at\]|\(at\))\x20?{_LABEL}++(?:\x20?(?:\[dot\]|\(dot\)|\.)\x20?{_LABEL}++)++",
 }
 #: Cheap tests that a text must pass before its pattern is tried.
 NEEDS = {

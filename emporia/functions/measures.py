@@ -36,7 +36,7 @@ def rate_pct(numerator: Column, denominator: Column) -> Column:
     NULL when the denominator is 0; NULL (not an error) above 999.99.
     The numerator is not bounded by the denominator, so > 100 is possible.
     """
-    n = numerator.cast("long")
-    d = denominator.cast("long")
+    n = numerator.cast("decimal(20,0)")  # wide enough for any long times 20000
+    d = denominator.cast("decimal(20,0)")
     hundredths = int_div(n * 20000 + d, d * 2)
     return F.when(d != 0, (hundredths / 100).try_cast("decimal(5,2)"))

@@ -34,8 +34,12 @@ def _offsets(counts: DataFrame) -> DataFrame:
     return counts.select(_BUCKET, F.coalesce(F.sum(_N).over(w), F.lit(0)).cast("long").alias("_offset"))
 
 
+#: Hash buckets of the numbering.  A constant, so that key values do not depend on a session's settings.
+BUCKETS = 1024
+
+
 def default_buckets(df: DataFrame) -> int:
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return BUCKETS
 
 
 def surrogate_keys(df: DataFrame, business_keys: list[str], key_name: str,
@@ -81,8 +85,11 @@ def global_rank(df: DataFrame, value: str, rank_name: str, descending: bool = Tr
     splits = [float("-inf"), *cuts, float("inf")]
     nb = len(splits) - 1
     probe = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    values = Bucketizer(splits=splits, inputCol="_probe", outputCol="_asc").transform(
-        values.withColumn("_probe", probe))
+    values = values.withColumn("_probe", probe)
+    if cuts:
+        values = Bucketizer(splits=splits, inputCol="_probe", outputCol="_asc").transform(values)
+    else:  # empty input, NULLs only or a single bucket: nothing to cut
+        values = values.withColumn("_asc", F.lit(0.0))
     asc = F.col("_asc").cast("int")
     isnull = F.col(value).isNull()
     # Bucket 0 holds the first values in rank order; NULL gets its own bucket at the proper end.

@@ -477,5 +477,4 @@ def gold_views_from_store(spark, sf):
 
 
 def pipeline_registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (run_pipeline, ctl_run_log, ctl_last_runs, ctl_watermark_read,
-                                    ctl_watermark_advance, ctl_watermark_lag, gold_views_from_store)}
+    return {f.__name__: f for f in (run_pipeline, ctl_run_log, ctl_last_runs, gold_views_from_store)}

@@ -52,7 +52,7 @@ class RunResult:
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now().replace(microsecond=0)
+    return dt.datetime.now()
 
 
 def _write_counted(df: DataFrame, write: Callable[[DataFrame], object], action_col: bool = False) -> dict[str, int]:
@@ -244,7 +244,7 @@ class Pipeline:
         """Source (always snapshot) -> bronze -> silver -> gold, logged; re-raises on failure."""
         t0 = time.time()
         run_id = new_id()
-        batch_ts = batch_ts or self.clock()
+        batch_ts = self._batch_time(batch_ts)
         result = RunResult(run_id, load_type, batch_ts)
         log_id, start = new_id(), self.clock()
         self.control.log_event(run_id, log_id, RUN_MAIN, "all", load_type, "RUNNING", start)
@@ -269,6 +269,16 @@ class Pipeline:
         result.seconds = time.time() - t0
         return result
 
+    def _batch_time(self, asked: dt.datetime | None) -> dt.datetime:
+        """A batch time after every stored watermark, so that no row of this run can fall under one."""
+        last = max((t for t in self.control.current_watermarks().values() if t), default=None)
+        if asked is not None:
+            if last is not None and asked <= last:
+                raise ValueError(f"batch time {asked} does not advance beyond the stored watermark {last}")
+            return asked
+        now = self.clock()
+        return now if last is None or now > last else last + dt.timedelta(microseconds=1)
+
     def retire_old_versions(self) -> None:
         """Delete table versions older than the newest ``keep_versions`` (after a successful run).
 

@@ -44,16 +44,9 @@ def get_session(master: str | None = None, app_name: str = "emporia", **conf: st
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the correctness settings to an existing session.
-
-    In local mode only, a shuffle-partition count still at Spark's default
-    (200) is sized to the machine (4 per core); cluster settings are left alone.
-    """
+    """Apply the correctness settings to an existing session; its tuning is left alone."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
-    sc = spark.sparkContext
-    if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(8, 4 * sc.defaultParallelism)))
     return spark
 
 
@@ -65,7 +58,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        # Tests only: no cluster-named folder, so take a fresh local one.
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # Local sessions only: no cluster-named folder, so take a fresh local one.
         import tempfile
 
         root = tempfile.mkdtemp(prefix="emporia-ckpt-")

@@ -37,8 +37,12 @@ def stream_feed_to_bronze(spark: SparkSession, feed_dir: str, name: str, store:
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch_ts = dt.datetime.now().replace(microsecond=0)
+        batch_ts = dt.datetime.now()
         existing = store.read("bronze", name)
+        if existing is not None:  # never at or before what has landed already
+            last = existing.agg(F.max("ingestion_timestamp").alias("t")).first()["t"]
+            if last is not None and batch_ts <= last:
+                batch_ts = last + dt.timedelta(microseconds=1)
         rows = B.load(batch, existing, name, batch_ts, "incremental", source_system)
         rows = rows.withColumn(BRONZE_PARTITION, F.to_date("ingestion_timestamp"))
         store.append("bronze", name, rows, [BRONZE_PARTITION])

@@ -102,3 +102,15 @@ def test_gold_table_contracts(runs):
         n = df.count()
         # dense 1..N after the snapshot reload, unique
         assert df.agg(F.min(key), F.max(key), F.count_distinct(key)).first() == (1, n, n)
+
+
+def test_batch_time_moves_past_every_watermark(runs):
+    p, *_ = runs
+    last = max(t for t in p.control.current_watermarks().values() if t)
+    with pytest.raises(ValueError):
+        p._batch_time(last)
+    clock, p.clock = p.clock, lambda: last
+    try:
+        assert p._batch_time(None) == last + dt.timedelta(microseconds=1)
+    finally:
+        p.clock = clock

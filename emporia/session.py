@@ -8,6 +8,8 @@ used by tests and the bench.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 # Settings every job relies on for correct results (not tunables).
@@ -47,6 +49,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the correctness settings to an existing session; its tuning is left alone."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    # Python workers import this package where it lies, whatever folder the driver was started in.
+    # (On a cluster the package is installed or shipped; the setting is one more folder on the path.)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     return spark
 
 

@@ -111,7 +111,7 @@ def dq_free_shipping(spark, sf):
 def _products_flag(fn) -> Query:
     def q(spark, sf):
         b = _w(spark, sf).bronze("products")
-        return b.select(F.trim("product_id").alias("product_id"), fn.alias("flag"))
+        return b.select(F.trim("product_id").alias("product_id"), fn().alias("flag"))
     return q
 
 
@@ -119,7 +119,7 @@ def _payments_flag(fn) -> Query:
     def q(spark, sf):
         b = _w(spark, sf).bronze("payments")
         return b.select(F.trim("order_id").alias("order_id"),
-                        F.trim("payment_sequential").alias("payment_sequential"), fn.alias("flag"))
+                        F.trim("payment_sequential").alias("payment_sequential"), fn().alias("flag"))
     return q
 
 
@@ -382,10 +382,10 @@ def registry() -> dict[str, Query]:
     q["dq_invalid_date_sequence"] = _parsed_orders_flag("sequence")
     q["dq_late_delivery"] = _parsed_orders_flag("late")
     q["dq_free_shipping"] = dq_free_shipping
-    q["dq_missing_category"] = _products_flag(Q.missing_category("product_category_name"))
-    q["dq_missing_dimensions"] = _products_flag(Q.missing_dimensions("product_weight_g"))
-    q["dq_payment_not_defined"] = _payments_flag(Q.payment_not_defined("payment_type"))
-    q["dq_payment_zero_value"] = _payments_flag(Q.payment_zero_value("payment_value"))
+    q["dq_missing_category"] = _products_flag(lambda: Q.missing_category("product_category_name"))
+    q["dq_missing_dimensions"] = _products_flag(lambda: Q.missing_dimensions("product_weight_g"))
+    q["dq_payment_not_defined"] = _payments_flag(lambda: Q.payment_not_defined("payment_type"))
+    q["dq_payment_zero_value"] = _payments_flag(lambda: Q.payment_zero_value("payment_value"))
     q["dq_profile"] = dq_profile
     for f in (dim_customers, dim_products, dim_date, fact_sales, fact_orders, surrogate_keys,
               gold_incremental_filter, first_payment_per_order, date_key_lookup, order_item_totals,

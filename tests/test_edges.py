@@ -30,3 +30,13 @@ def test_keys_do_not_depend_on_the_shuffle_setting(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen[0] == seen[1] and sorted(x[1] for x in seen[0]) == list(range(1, 101))
+
+
+def test_registry_needs_no_session():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 0)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=100).stdout.strip().endswith("True")

@@ -25,7 +25,6 @@ from emporia.session import checkpoint_root
 from emporia.schemas import PAYMENT_UNKNOWN
 
 DEFAULT_CALENDAR = (dt.date(2016, 1, 1), dt.date(2020, 12, 31))
-MAX_CALENDAR_DAYS = 100 * 366  # keeps the broadcast calendar bounded
 
 DIM_CUSTOMER_COLUMNS = [
     "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state",
@@ -49,11 +48,15 @@ def changed_since(df: DataFrame, watermark: dt.datetime | None) -> DataFrame:
 # ---- OP-G03 ---------------------------------------------------------------
 def dim_date(spark: SparkSession, start: dt.date = DEFAULT_CALENDAR[0],
              end: dt.date = DEFAULT_CALENDAR[1]) -> DataFrame:
-    """One row per day in [start, end] (1,827 rows for the default 2016-2020)."""
+    """One row per day in [start, end] (1,827 rows for the default 2016-2020).
+
+    Python dates span the years 1 to 9999, so any calendar has at most 3,652,059 rows
+    (one INT column of it is broadcast: under 100 MB in a join's hash table).
+    """
     days = (end - start).days + 1
-    if not 0 < days <= MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar range of {days} days is out of bounds")
-    d = F.date_add(F.lit(start), F.col("id").cast("int"))
+    if days <= 0:
+        raise ValueError(f"calendar ends ({end}) before it starts ({start})")
+    d = F.date_add(F.to_date(F.lit(start.isoformat())), F.col("id").cast("int"))
     return spark.range(days).select(d.alias("full_date")).select(
         date_key(F.col("full_date")).alias("date_key"),
         "full_date",
@@ -91,19 +94,19 @@ def build_dim(silver: DataFrame, columns: list[str], id_col: str, key_name: str,
 
 def merge_dim(existing: DataFrame, silver_changes: DataFrame, columns: list[str], id_col: str,
               key_name: str, update_columns: list[str], compare_defaults: dict[str, object],
-              batch_ts: dt.datetime, max_key: int, small_changes: bool = False) -> DataFrame:
+              batch_ts: dt.datetime, max_key: int) -> DataFrame:
     """Type-1 upsert: update ``update_columns`` only when one of them really differs.
 
-    New rows get keys ``max_key + 1 ..``; existing keys never change.
+    New rows get keys ``max_key + 1 ..``; existing keys never change.  Only the ids that
+    the dimension lacks are numbered, so the table itself takes part in one full outer join.
     """
     cond = null_safe_differs(update_columns, compare_defaults)
-    merged = merge(existing, silver_changes, [id_col], columns, update_columns, batch_ts,
-                   matched_condition=cond, carried_columns=[key_name], small_changes=small_changes)
-    new = merged.where(F.col(ACTION) == "insert").drop(key_name)
-    old = merged.where(F.col(ACTION) != "insert")
-    new = _with_new_keys(new, id_col, key_name, max_key)
-    cols = [key_name, *columns, "created_at", "updated_at", ACTION]
-    return old.select(*cols).unionByName(new.select(*cols))
+    new_ids = silver_changes.select(id_col).join(existing.select(id_col), id_col, "left_anti")
+    new_keys = _with_new_keys(new_ids, id_col, key_name, max_key).select(F.col(id_col).alias("_new_id"), key_name)
+    changes = silver_changes.join(new_keys, F.col(id_col).eqNullSafe(F.col("_new_id")), "left").drop("_new_id")
+    merged = merge(existing, changes, [id_col], columns, update_columns, batch_ts,
+                   matched_condition=cond, carried_columns=[key_name])
+    return merged.select(key_name, *columns, "created_at", "updated_at", ACTION)
 
 
 CUSTOMER_UPDATES = ["customer_zip_code_prefix", "customer_city", "customer_state"]
@@ -174,21 +177,13 @@ FACT_SALES_COLUMNS = [
 ]
 
 
-def _changed_ids(o: DataFrame, small_delta: bool) -> DataFrame:
-    ids = o.select("order_id")
-    return F.broadcast(ids) if small_delta else ids
-
-
 def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_customers: DataFrame,
                dim_products: DataFrame, calendar: DataFrame, watermark: dt.datetime | None = None,
-               existing: DataFrame | None = None, small_delta: bool = False) -> DataFrame:
+               existing: DataFrame | None = None) -> DataFrame:
     """Line-grain fact: items of known orders with first payment and dimension keys.
 
     Incremental: only orders changed since the watermark, and only lines not
     already in the fact (insert-only; a snapshot run repairs later changes).
-    ``small_delta`` (measured by the caller): the changed order ids are
-    broadcast, so items, payments and the existing fact are filtered by
-    broadcast semi-joins instead of being shuffled.
     """
     o = changed_since(orders, watermark).select(
         "order_id", "customer_id", "order_status", "is_late_delivery", "order_purchase_timestamp")
@@ -196,7 +191,7 @@ def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_cus
                       "total_item_value", "is_free_shipping")
     if watermark is not None:
         # Only the items of changed orders take part (semi-join before the wide joins).
-        ids = _changed_ids(o, small_delta)
+        ids = o.select("order_id")
         it = it.join(ids, "order_id", "left_semi")
         payments = payments.join(ids, "order_id", "left_semi")
         if existing is not None:
@@ -235,12 +230,12 @@ FACT_ORDERS_COLUMNS = [
 
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, dim_customers: DataFrame,
                 calendar: DataFrame, watermark: dt.datetime | None = None,
-                existing: DataFrame | None = None, small_delta: bool = False) -> DataFrame:
+                existing: DataFrame | None = None) -> DataFrame:
     """Order-grain fact: order attributes + item and payment totals (pre-aggregated, no fan-out)."""
     o = changed_since(orders, watermark)
     it, pay = items, payments
     if watermark is not None:
-        ids = _changed_ids(o, small_delta)
+        ids = o.select("order_id")
         it, pay = it.join(ids, "order_id", "left_semi"), pay.join(ids, "order_id", "left_semi")
         if existing is not None:
             existing = existing.join(ids, "order_id", "left_semi")

@@ -44,40 +44,19 @@ def null_safe_differs(columns: list[str], defaults: dict[str, object] | None = N
 def merge(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str],
           update_columns: list[str], batch_ts: dt.datetime,
           matched_condition: Column | None = None,
-          carried_columns: list[str] | None = None,
-          small_changes: bool = False) -> DataFrame:
+          carried_columns: list[str] | None = None) -> DataFrame:
     """Upsert ``changes`` into ``target``.
 
     ``columns``: business columns of the table (keys included).
     ``update_columns``: overwritten on a match (others are frozen after insert).
     ``matched_condition``: extra guard for updates, over aliases ``t`` / ``c``.
-    ``carried_columns``: target-only columns (e.g. a surrogate key) kept as is.
-    ``small_changes``: the caller measured ``changes`` under the broadcast
-    bound; the target is then streamed through broadcast hash joins and never
-    shuffled.  Otherwise both sides meet in a sort-merge full outer join.
+    ``carried_columns``: columns of the target kept as is (e.g. a surrogate key);
+    an inserted row takes them from ``changes``.
     Audit: ``created_at`` set on insert, ``updated_at`` set on update.
     """
     ts = F.lit(batch_ts).cast("timestamp_ntz")
-    c_df = changes.select(*columns).withColumn(IN_C, F.lit(True))
     carried = carried_columns or []
-
-    def project(df: DataFrame, in_t: Column, in_c: Column, tcol, ccol, matchable: bool = True) -> DataFrame:
-        guard = matched_condition if matched_condition is not None else F.lit(True)
-        upd = (in_t & in_c & guard) if matchable else F.lit(False)
-        ins = in_c & ~in_t
-        out = []
-        for col in columns:
-            if col in keys:
-                out.append(F.when(in_t, tcol(col)).otherwise(ccol(col)).alias(col))
-            elif col in update_columns:
-                out.append(F.when(upd | ins, ccol(col)).otherwise(tcol(col)).alias(col))
-            else:
-                out.append(F.when(ins, ccol(col)).otherwise(tcol(col)).alias(col))
-        out += [tcol(col).alias(col) for col in carried]
-        out.append(F.when(ins, ts).otherwise(tcol("created_at")).alias("created_at"))
-        out.append(F.when(upd, ts).otherwise(tcol("updated_at")).alias("updated_at"))
-        out.append(F.when(ins, "insert").when(upd, "update").otherwise("keep").alias(ACTION))
-        return df.select(*out)
+    c_df = changes.select(*columns, *carried).withColumn(IN_C, F.lit(True))
 
     def t_(col):
         return F.col(f"t.{col}")
@@ -87,21 +66,17 @@ def merge(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[
 
     cond = F.lit(True)
     for k in keys:
-        cond = cond & (F.col(f"t.{k}") == F.col(f"c.{k}"))
-    t = target.withColumn(IN_T, F.lit(True)).alias("t")
-    if not small_changes:
-        joined = t.join(c_df.alias("c"), cond, "full_outer")
-        return project(joined, F.col(f"t.{IN_T}").isNotNull(), F.col(f"c.{IN_C}").isNotNull(), t_, c_)
-    # Small delta: every target row streams through a broadcast of the changes;
-    # the new keys are the changes whose key the target does not hold.
-    small = F.broadcast(c_df.alias("c"))
-    kept = project(t.join(small, cond, "left"), F.lit(True), F.col(f"c.{IN_C}").isNotNull(), t_, c_)
-    known = target.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
-    new = c_df.join(F.broadcast(known), keys, "left_anti").alias("c")
-    types = dict(target.dtypes)
-    inserted = project(new, F.lit(False), F.lit(True),
-                       lambda col: F.lit(None).cast(types.get(col, "string")), c_, matchable=False)
-    return kept.unionByName(inserted)
+        cond = cond & (t_(k) == c_(k))
+    joined = target.withColumn(IN_T, F.lit(True)).alias("t").join(c_df.alias("c"), cond, "full_outer")
+    in_t, in_c = t_(IN_T).isNotNull(), c_(IN_C).isNotNull()
+    upd = in_t & in_c & (matched_condition if matched_condition is not None else F.lit(True))
+    ins = in_c & ~in_t
+    out = [F.when(upd | ins if col in update_columns and col not in keys else ins, c_(col)).otherwise(t_(col)).alias(col)
+           for col in [*columns, *carried]]
+    out.append(F.when(ins, ts).otherwise(t_("created_at")).alias("created_at"))
+    out.append(F.when(upd, ts).otherwise(t_("updated_at")).alias("updated_at"))
+    out.append(F.when(ins, "insert").when(upd, "update").otherwise("keep").alias(ACTION))
+    return joined.select(*out)
 
 
 def insert_all(changes: DataFrame, columns: list[str], batch_ts: dt.datetime) -> DataFrame:

@@ -28,8 +28,7 @@ from emporia.operators import bronze as B
 from emporia.operators import gold as G
 from emporia.operators.control import Control, new_id
 from emporia.operators.merge import ACTION, insert_all, merge
-from emporia.operators.silver import CLEANERS, incremental_filter
-from emporia.operators.sizing import is_small
+from emporia.operators.silver import CLEANERS
 from emporia.schemas import (
     DEFAULT_SOURCE_SYSTEM, FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, RUN_BRONZE, RUN_GOLD, RUN_MAIN, RUN_SILVER,
     RUN_SOURCE, SILVER_SPECS,
@@ -159,10 +158,7 @@ class Pipeline:
         if target is None:
             out = insert_all(changes, cols, batch_ts)
         else:
-            # The new bronze rows bound the changes; a small delta merges by broadcast.
-            small = is_small(incremental_filter(bronze, wm))
-            out = merge(target, changes, list(spec.keys), cols, list(spec.update_columns), batch_ts,
-                        small_changes=small)
+            out = merge(target, changes, list(spec.keys), cols, list(spec.update_columns), batch_ts)
         c = _write_counted(out, lambda d: self.store.write_version("silver", spec.name, d), action_col=True)
         self.control.advance_watermark(spec.watermark, batch_ts, self.clock())
         return c["inserted"] + c["updated"]
@@ -196,8 +192,7 @@ class Pipeline:
             out = G.build_dim(changes, cols, idc, key, batch_ts)
         else:
             max_key = existing.agg(F.max(key)).first()[0] or 0
-            out = G.merge_dim(existing, changes, cols, idc, key, upd, cmp_, batch_ts, max_key,
-                              small_changes=is_small(changes))
+            out = G.merge_dim(existing, changes, cols, idc, key, upd, cmp_, batch_ts, max_key)
         c = _write_counted(out, lambda d: self.store.write_version("gold", table, d), action_col=True)
         self.control.advance_watermark(wm_name, batch_ts, self.clock())
         return c["inserted"] + c["updated"]
@@ -211,12 +206,11 @@ class Pipeline:
         payments = self.store.read("silver", "payments_clean")
         dim_c = self.store.read("gold", "dim_customers")
         cal = self.calendar_table()
-        small = wm is not None and is_small(G.changed_since(orders, wm))
         if which == "fact_sales":
             rows = G.fact_sales(items, orders, payments, dim_c, self.store.read("gold", "dim_products"), cal,
-                                wm, existing, small_delta=small)
+                                wm, existing)
         else:
-            rows = G.fact_orders(orders, items, payments, dim_c, cal, wm, existing, small_delta=small)
+            rows = G.fact_orders(orders, items, payments, dim_c, cal, wm, existing)
         if which == "fact_sales":
             key, ids = "sales_key", ["order_id", "order_item_id"]
         else:

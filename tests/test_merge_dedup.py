@@ -59,7 +59,7 @@ def test_dim_updates_only_on_real_change(spark):
     assert sorted(r.customer_key for r in out.values()) == [1, 2, 3]
 
 
-def test_small_delta_path_equals_full_outer(spark):
+def test_merge_into_a_larger_target(spark):
     from pyspark.sql import functions as F
 
     schema = "k string, a string, b string"
@@ -67,7 +67,29 @@ def test_small_delta_path_equals_full_outer(spark):
                                               schema), ["k", "a", "b"], T1).drop(ACTION)
     changes = spark.createDataFrame([("3", None, "x"), ("7", "a7", "y"), ("77", "z", "z"), (None, "q", "q")], schema)
     cond = F.col("t.a").isNull() | F.col("c.a").isNull() | (F.col("t.a") != F.col("c.a"))
-    full = merge(target, changes, ["k"], ["k", "a", "b"], ["a"], T2, matched_condition=cond)
-    small = merge(target, changes, ["k"], ["k", "a", "b"], ["a"], T2, matched_condition=cond, small_changes=True)
-    assert sorted(map(tuple, full.collect()), key=str) == sorted(map(tuple, small.collect()), key=str)
-    assert "SortMergeJoin" not in small._jdf.queryExecution().executedPlan().toString()
+    got = merge(target, changes, ["k"], ["k", "a", "b"], ["a"], T2, matched_condition=cond).collect()
+    want = {(str(i), f"a{i}", f"b{i}", "keep") for i in range(50) if i != 3}
+    want |= {("3", None, "b3", "update"), ("77", "z", "z", "insert"), (None, "q", "q", "insert"), (None, "n", "n", "keep")}
+    assert len(got) == len(want) and {(r.k, r.a, r.b, r[ACTION]) for r in got} == want
+
+
+def test_dimension_merge_plans_one_full_outer_join(spark):
+    schema = "customer_id string, customer_unique_id string, customer_zip_code_prefix int, customer_city string, customer_state string"
+    dim = build_dim(spark.createDataFrame([("1", "u", 1, "a", "b")], schema), DIM_CUSTOMER_COLUMNS, "customer_id",
+                    "customer_key", T1).drop(ACTION)
+    out = merge_dim(dim, spark.createDataFrame([("2", "u", 1, "a", "b"), ("3", "u", 1, "a", "b")], schema),
+                    DIM_CUSTOMER_COLUMNS, "customer_id", "customer_key", CUSTOMER_UPDATES, CUSTOMER_COMPARE, T2, 1)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("FullOuter") == 1
+    assert sorted(r.customer_key for r in out.collect()) == [1, 2, 3]
+
+
+def test_calendar_takes_any_year(spark):
+    import datetime as dt
+
+    import pytest
+
+    from emporia.operators.gold import dim_date
+
+    assert dim_date(spark, dt.date(1, 1, 1), dt.date(9999, 12, 31)).count() == 3652059
+    with pytest.raises(ValueError):
+        dim_date(spark, dt.date(2020, 1, 2), dt.date(2020, 1, 1))

@@ -44,8 +44,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so shorter ones may be left out at once
 
 # Encoded stretches.
-URL = re.compile(r"(?:[A-Za-z0-9_.~+*'(),:;@&=/?$!-]*%[0-9A-Fa-f]{2})+[A-Za-z0-9_.~+*'(),:;@&=/?$!-]*")
-UNICODE = re.compile(r"(?:[\x21-\x5B\x5D-\x7E]*(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};))+[\x21-\x5B\x5D-\x7E]*")
+# They start where a run of their characters starts, so a long run without escapes is read once.
+URL = re.compile(r"(?<![A-Za-z0-9_.~+*'(),:;@&=/?$!-])(?:[A-Za-z0-9_.~+*'(),:;@&=/?$!-]*%[0-9A-Fa-f]{2})+[A-Za-z0-9_.~+*'(),:;@&=/?$!-]*")
+UNICODE = re.compile(r"(?<![\x21-\x5B\x5D-\x7E])(?:[\x21-\x5B\x5D-\x7E]*(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};))+[\x21-\x5B\x5D-\x7E]*")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|(&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 MAGIC = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78\x01", zlib.decompressobj), (b"\x78\x5e", zlib.decompressobj),

@@ -50,6 +50,13 @@ def test_secret_base_has_no_retries():
     assert secrets.scan(None) == ([], [], 0) and secrets.scan("")[1] == []
 
 
+def test_secret_scan_reads_a_long_run_once():
+    text = "% \\ &# " + "a1/" * 200_000 + "%41KIA0123456789ABCDEF"  # quadratic if the run is tried from each character
+    base, spans, _ = secrets.scan(text)
+    at = text.index("%41")
+    assert base == [] and spans == [(at, at + 22, "access")]
+
+
 # 2
 def brute_repeats(texts, k=400):
     data = [(t or "").encode() for t in texts]

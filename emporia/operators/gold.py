@@ -153,6 +153,14 @@ def _calendar_lookup(df: DataFrame, calendar: DataFrame) -> DataFrame:
     return df.join(cal, probe == F.col("_cal_key"), "left").withColumnRenamed("_cal_key", "date_key")
 
 
+def _key_lookup(df: DataFrame, dim: DataFrame | None, which: str) -> DataFrame:
+    return df if dim is None else df.join(dim.select(f"{which}_id", f"{which}_key"), f"{which}_id", "left")
+
+
+def _looked_up(df: DataFrame) -> list[str]:
+    return [k for k in ("customer_key", "product_key") if k in df.columns]
+
+
 # ---- OP-G06 for facts -----------------------------------------------------
 def with_fact_keys(rows: DataFrame, key_name: str, id_cols: list[str], start: int,
                    batch_ts: dt.datetime) -> DataFrame:
@@ -177,13 +185,14 @@ FACT_SALES_COLUMNS = [
 ]
 
 
-def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_customers: DataFrame,
-               dim_products: DataFrame, calendar: DataFrame, watermark: dt.datetime | None = None,
+def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_customers: DataFrame | None,
+               dim_products: DataFrame | None, calendar: DataFrame, watermark: dt.datetime | None = None,
                existing: DataFrame | None = None) -> DataFrame:
     """Line-grain fact: items of known orders with first payment and dimension keys.
 
     Incremental: only orders changed since the watermark, and only lines not
     already in the fact (insert-only; a snapshot run repairs later changes).
+    A dimension given as None is not looked up, and the fact has no key of it.
     """
     o = changed_since(orders, watermark).select(
         "order_id", "customer_id", "order_status", "is_late_delivery", "order_purchase_timestamp")
@@ -197,18 +206,14 @@ def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_cus
         if existing is not None:
             existing = existing.join(ids, "order_id", "left_semi")
     pay = first_payment_per_order(payments)
-    df = (
-        it.join(o, "order_id", "inner")
-        .join(pay, "order_id", "left")
-        .join(dim_customers.select("customer_id", "customer_key"), "customer_id", "left")
-        .join(dim_products.select("product_id", "product_key"), "product_id", "left")
-    )
+    df = it.join(o, "order_id", "inner").join(pay, "order_id", "left")
+    df = _key_lookup(_key_lookup(df, dim_customers, "customer"), dim_products, "product")
     df = _calendar_lookup(df, calendar)
     if existing is not None:
         df = df.join(existing.select("order_id", "order_item_id"), ["order_id", "order_item_id"], "left_anti")
     ts = "order_purchase_timestamp"
     return df.select(
-        "order_id", "order_item_id", "customer_key", "product_key", "date_key",
+        "order_id", "order_item_id", *_looked_up(df), "date_key",
         "price", "freight_value", "total_item_value",
         F.coalesce("payment_value", F.lit(0).cast("decimal(10,2)")).alias("payment_value"),
         F.coalesce("payment_type", F.lit(PAYMENT_UNKNOWN)).alias("payment_type"),
@@ -228,10 +233,13 @@ FACT_ORDERS_COLUMNS = [
 ]
 
 
-def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, dim_customers: DataFrame,
+def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, dim_customers: DataFrame | None,
                 calendar: DataFrame, watermark: dt.datetime | None = None,
                 existing: DataFrame | None = None) -> DataFrame:
-    """Order-grain fact: order attributes + item and payment totals (pre-aggregated, no fan-out)."""
+    """Order-grain fact: order attributes + item and payment totals (pre-aggregated, no fan-out).
+
+    ``dim_customers`` given as None is not looked up, and the fact has no key of it.
+    """
     o = changed_since(orders, watermark)
     it, pay = items, payments
     if watermark is not None:
@@ -239,16 +247,13 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, dim_cu
         it, pay = it.join(ids, "order_id", "left_semi"), pay.join(ids, "order_id", "left_semi")
         if existing is not None:
             existing = existing.join(ids, "order_id", "left_semi")
-    df = (
-        o.join(order_item_totals(it), "order_id", "left")
-        .join(order_payment_totals(pay), "order_id", "left")
-        .join(dim_customers.select("customer_id", "customer_key"), "customer_id", "left")
-    )
+    df = o.join(order_item_totals(it), "order_id", "left").join(order_payment_totals(pay), "order_id", "left")
+    df = _key_lookup(df, dim_customers, "customer")
     df = _calendar_lookup(df, calendar)
     if existing is not None:
         df = df.join(existing.select("order_id"), "order_id", "left_anti")
     return df.select(
-        "order_id", "customer_key", "date_key", "order_status",
+        "order_id", *_looked_up(df), "date_key", "order_status",
         F.coalesce("total_order_value", F.lit(0)).cast("decimal(10,2)").alias("total_order_value"),
         F.coalesce("total_payment_value", F.lit(0)).cast("decimal(10,2)").alias("total_payment_value"),
         F.coalesce("item_count", F.lit(0)).cast("int").alias("item_count"),

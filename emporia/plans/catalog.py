@@ -253,12 +253,12 @@ def gold_load_counts(spark, sf):
 # ---- reports -------------------------------------------------------------
 def sales_summary(spark, sf):
     w = _w(spark, sf)
-    return R.sales_summary(w.fact_sales, w.dim_date, w.fact_orders)
+    return R.sales_summary(w.sales_lines(), w.dim_date, w.order_heads)
 
 
 def product_performance(spark, sf):
     w = _w(spark, sf)
-    return R.product_performance(w.fact_sales, w.dim_products, w.fact_orders)
+    return R.product_performance(w.sales_lines(w.dim_products), w.dim_products, w.order_heads)
 
 
 def customer_revenue(spark, sf):
@@ -267,7 +267,7 @@ def customer_revenue(spark, sf):
 
 
 def delivery_quality(spark, sf):
-    return R.delivery_quality(_w(spark, sf).fact_orders)
+    return R.delivery_quality(_w(spark, sf).order_heads)
 
 
 # ---- control (SQL-checkable parts) -----------------------------------------
@@ -319,7 +319,7 @@ def dash_monthly_revenue(spark, sf):
 
 
 def dash_payment_split(spark, sf):
-    return D.payment_split(_w(spark, sf).fact_sales)
+    return D.payment_split(_w(spark, sf).sales_lines())
 
 
 def dash_top_products(spark, sf):
@@ -328,11 +328,11 @@ def dash_top_products(spark, sf):
 
 def dash_category_revenue(spark, sf):
     w = _w(spark, sf)
-    return D.category_revenue(w.fact_sales, w.dim_products)
+    return D.category_revenue(w.sales_lines(w.dim_products), w.dim_products)
 
 
 def dash_free_shipping(spark, sf):
-    return D.free_shipping(_w(spark, sf).fact_sales)
+    return D.free_shipping(_w(spark, sf).sales_lines())
 
 
 def dash_customer_ltv(spark, sf):
@@ -357,7 +357,7 @@ def dash_dq_by_month(spark, sf):
 
 
 def dash_cancellations(spark, sf):
-    return D.cancellations(_w(spark, sf).fact_orders)
+    return D.cancellations(_w(spark, sf).order_heads)
 
 
 def registry() -> dict[str, Query]:

@@ -1,5 +1,7 @@
 """Physical-plan shape checks: the plans we want at scale, not only right answers."""
 
+import re
+
 from conftest import SF_SMALL
 from emporia.plans import catalog as C
 
@@ -37,3 +39,17 @@ def test_scans_are_pruned(spark):
     df = C.registry()["src_orders"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in p.split("ReadSchema")[1].split("\n")[0]
+
+
+def scans(df) -> list[str]:
+    """Tables read by the plan, one entry per scan."""
+    return sorted(re.findall(r"FileScan parquet.*?/([a-z]+)\.parquet", plan(df)))
+
+
+def test_reports_read_no_unused_table(spark):
+    reg = C.registry()
+    for key in ("delivery_quality", "dash_late_rate", "dash_dq_by_month", "dash_cancellations"):
+        assert set(scans(reg[key](spark, SF_SMALL))) == {"orders"}, key
+    for key in ("sales_summary", "dash_payment_split", "dash_free_shipping"):
+        assert not {"customer", "part"} & set(scans(reg[key](spark, SF_SMALL))), key
+    assert "customer" not in scans(reg["dash_category_revenue"](spark, SF_SMALL))

@@ -8,8 +8,8 @@ wrapper: a union-free regular expression in which a mismatch becomes an optional
 group, a run that one side repeats becomes a repeated group, and texts become
 slots.  Slots in menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments are marked as boilerplate, and so are slots whose text is the
-same on most pages of the host.  If the wrapper has an article (or main) region
-only slots in it are content.  A page's text is what its content slots hold.
+same on most pages of the host.  A page with content slots in an article (or main)
+region has its text there; a page without has it in its other content slots.
 
 Distinct streams are few however many pages a host has: pages are folded where
 they lie and a host's streams are counted map-side, so a host with a third of
@@ -205,8 +205,11 @@ def content_slots(wrapper: list, constant: set[str]) -> list[str]:
     """The slots of a wrapper that hold main text."""
     every = {"/".join(p): p for p in slots(wrapper)}
     good = {k: p for k, p in every.items() if not boilerplate(_inside(p)) and k not in constant}
-    inner = {k for k, p in good.items() if any(r in p for r in REGIONS)}
-    return sorted(inner or good)
+    return sorted(good)
+
+
+def regional(path: str) -> bool:
+    return any(r in path.split("/") for r in REGIONS)
 
 
 def _inside(path: tuple[str, ...]) -> tuple[str, ...]:
@@ -285,7 +288,9 @@ def extract(pages: DataFrame) -> DataFrame:
             out = []
             for page_id, url, page, wanted in zip(b["page_id"], b["url"], b["html"], b["slots"], strict=True):
                 keep = set(wanted)
-                text = "\n".join(t for path, t in tree(page)[1] if path in keep)
+                good = [(path, t) for path, t in tree(page)[1] if path in keep]
+                # A page without content slots in a region has its text in its other slots.
+                text = "\n".join(t for _, t in [x for x in good if regional(x[0])] or good)
                 out.append((page_id, url, text, len(text)))
             yield pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars"])
 

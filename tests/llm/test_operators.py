@@ -206,6 +206,17 @@ def test_alignment_makes_optional_and_repeated_groups():
     assert got[0][1][0][3]  # p repeats
 
 
+def extracted(spark, pages):
+    frame = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_wrapper.extract(frame).collect()}
+
+
+def test_regions_are_chosen_per_page(spark):
+    pages = [("http://h.example/a", "<article><p>in</p></article><div><p>out</p></div>"), ("http://h.example/b", "<div><p>plain</p></div>"),
+             (None, "<main>pool</main>"), ("no url", "<div><p>other site</p></div>")]
+    assert extracted(spark, pages) == {0: "in", 1: "plain", 2: "pool", 3: "other site"}
+
+
 # 7
 def test_quality_separates_held_out_rows(spark):
     rng = random.Random(4)

@@ -7,24 +7,29 @@ distinct folded streams of a host are then aligned one after the other into a
 wrapper: a union-free regular expression in which a mismatch becomes an optional
 group, a run that one side repeats becomes a repeated group, and texts become
 slots.  Slots in menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments are marked as boilerplate, and so are slots whose text is the
-same on most pages of the host.  A page with content slots in an article (or main)
-region has its text there; a page without has it in its other content slots.
-
-Distinct streams are few however many pages a host has: pages are folded where
-they lie and a host's streams are counted map-side, so a host with a third of
-all pages costs the wrapper as much as a small one.  The wrapper of a host is
-joined back to its pages under a salt.
+reader comments are boilerplate.  Each page is then matched against the wrapper,
+so that each of its texts has a wrapper position; a text that stands at the same
+position on most pages of the host is boilerplate too (outside of regions), and
+other texts of that position are not.  A page with content slots in an article
+(or main) region has its text there; a page without has it in its other slots,
+whatever the other pages of its host look like.
+
+Pages are read once, where they lie, and their texts outside of boilerplate are
+written with the folded stream.  Distinct streams are few however many pages a
+host has, so a host with a third of all pages costs the wrapper as much as a
+small one.  The wrapper of a host is joined back to its pages under a salt.
 
 ``html`` null counts as empty: text empty, length 0.  A null or unparsable url
 puts a page under the host ''.  Nothing is cut: broken or unclosed markup is read
-as browsers do it for blocks; a page whose stream the wrapper does not cover is
-aligned into it by its own folded stream, which takes part in the inference.
+as browsers do it for blocks.  Every page's stream takes part in the inference,
+and an alignment keeps what it aligns, so the wrapper covers every page.
 Repeated rows give the same row each; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import html as entities
 import json
 import re
@@ -53,7 +58,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/
 ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 SPACE = re.compile(r"\s+")
 SALTS = 64
-#: A slot with the same text on this share of a host's pages (and at least so many) is boilerplate.
+#: A text that stands in one slot on this share of a host's pages (and on at least so many) is boilerplate.
 SAME_SHARE, SAME_PAGES = 0.6, 8
 
 
@@ -132,32 +137,42 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         yield "close", stack.pop()[1], ""
 
 
-# ---- union-free expressions: nested lists [name, children, optional, repeated]; text slots are named '#' ----
-def tree(page: str) -> tuple[list, list[tuple[str, str]]]:
-    """The folded stream of a page and its texts with their slots (the path of names)."""
-    root: list = ["", [], False, False]
+# ---- union-free expressions: nested lists [name, children, optional, repeated, texts]; text slots are named '#' and hold the numbers of their texts ----
+def tree(page: str) -> tuple[list, list[tuple[tuple[str, ...], str]]]:
+    """The folded stream of a page and its texts with their paths of names."""
+    root: list = ["", [], False, False, []]
     stack, texts = [root], []
     for kind, name, text in tokens(page):
         if kind == "open":
-            node = [name, [], False, False]
+            node = [name, [], False, False, []]
             stack[-1][1].append(node)
             stack.append(node)
         elif kind == "close":
             node = stack.pop()
             node[1] = fold(node[1])
         else:
-            stack[-1][1].append(["#", [], False, False])
-            texts.append(("/".join(s[0] for s in stack[1:]), text))
+            stack[-1][1].append(["#", [], False, False, [len(texts)]])
+            texts.append((tuple(s[0] for s in stack[1:]), text))
     root[1] = fold(root[1])
     return root, texts
 
 
+def bare(node: list) -> list:
+    """A folded stream without its texts: what pages of one template share."""
+    return [node[0], [bare(c) for c in node[1]], node[2], node[3], []]
+
+
+def joined(a: list, b: list) -> list:
+    return [a[0], align(a[1], b[1]), a[2] or b[2], a[3] or b[3], a[4] + b[4]]
+
+
 def fold(children: list) -> list:
     """Neighbours with one name become one repeated group whose content is their alignment."""
     out: list = []
     for c in children:
         if out and out[-1][0] == c[0]:
-            out[-1] = [c[0], align(out[-1][1], c[1]), False, True]
+            out[-1] = joined(out[-1], c)
+            out[-1][2:4] = False, True
         else:
             out.append(c)
     return out
@@ -167,7 +182,7 @@ def align(a: list, b: list) -> list:
     """Align two sequences of groups: common names stay, mismatches become optional, repetitions join."""
     names_a, names_b = [x[0] for x in a], [x[0] for x in b]
     if names_a == names_b:
-        return [[x[0], align(x[1], y[1]), x[2] or y[2], x[3] or y[3]] for x, y in zip(a, b, strict=True)]
+        return [joined(x, y) for x, y in zip(a, b, strict=True)]
     # Longest common subsequence of names.
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
@@ -177,39 +192,64 @@ def align(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and names_a[i] == names_b[j]:
-            out.append([a[i][0], align(a[i][1], b[j][1]), a[i][2] or b[j][2], a[i][3] or b[j][3]])
+            out.append(joined(a[i], b[j]))
             i, j = i + 1, j + 1
         elif j >= m or (i < n and best[i + 1][j] >= best[i][j + 1]):
-            out.append([a[i][0], a[i][1], True, a[i][3]])
+            out.append([*a[i][:2], True, *a[i][3:]])
             i += 1
         else:
-            out.append([b[j][0], b[j][1], True, b[j][3]])
+            out.append([*b[j][:2], True, *b[j][3:]])
             j += 1
     # A group that now stands twice in a row is one repeated group.
     return fold(out)
 
 
-def slots(node: list, path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
-    for child in node[1]:
-        if child[0] == "#":
-            yield path
-        else:
-            yield from slots(child, (*path, child[0]))
+def numbered(children: list, start: int = 0) -> list[tuple]:
+    """(name, children, first slot, slots) of the groups that have slots, numbered from left to right."""
+    out, at = [], start
+    for c in children:
+        inner = [] if c[0] == "#" else numbered(c[1], at)
+        n = 1 if c[0] == "#" else sum(x[3] for x in inner)
+        if n:
+            out.append((c[0], inner, at, n))
+        at += n
+    return out
 
 
-def boilerplate(path: tuple[str, ...]) -> bool:
-    return any(p.split(".")[0] in BOILER_TAGS or "." in p for p in path)
+def match(page: list[tuple], wrapper: list[tuple]) -> list[tuple[int, int]]:
+    """(slot of the page's stream, slot of the wrapper) in the order-keeping match that covers most slots, leftmost first."""
+    n, m = len(page), len(wrapper)
+    pairs: dict[tuple[int, int], list] = {}
 
+    def pair(i: int, j: int) -> list:
+        got = pairs.get((i, j))
+        if got is None:
+            x, y = page[i], wrapper[j]
+            got = pairs[i, j] = [] if x[0] != y[0] else [(x[2], y[2])] if x[0] == "#" else match(x[1], y[1])
+        return got
 
-def content_slots(wrapper: list, constant: set[str]) -> list[str]:
-    """The slots of a wrapper that hold main text."""
-    every = {"/".join(p): p for p in slots(wrapper)}
-    good = {k: p for k, p in every.items() if not boilerplate(_inside(p)) and k not in constant}
-    return sorted(good)
+    if [x[0] for x in page] == [y[0] for y in wrapper]:
+        straight = [pair(i, i) for i in range(n)]
+        if all(len(p) == x[3] for p, x in zip(straight, page, strict=True)):
+            return [q for p in straight for q in p]
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            best[i][j] = max(best[i + 1][j], best[i][j + 1], len(pair(i, j)) + best[i + 1][j + 1])
+    out, i, j = [], 0, 0
+    while i < n and j < m:
+        if pair(i, j) and best[i][j] == len(pair(i, j)) + best[i + 1][j + 1]:
+            out += pair(i, j)
+            i, j = i + 1, j + 1
+        elif best[i][j] == best[i][j + 1]:
+            j += 1
+        else:
+            i += 1
+    return out
 
 
-def regional(path: str) -> bool:
-    return any(r in path.split("/") for r in REGIONS)
+def boilerplate(path: tuple[str, ...]) -> bool:
+    return any(p.split(".")[0] in BOILER_TAGS or "." in p for p in path)
 
 
 def _inside(path: tuple[str, ...]) -> tuple[str, ...]:
@@ -218,31 +258,50 @@ def _inside(path: tuple[str, ...]) -> tuple[str, ...]:
     return tuple(p for i, p in enumerate(path) if not (i > at >= 0 and p in ("header", "figcaption")))
 
 
+@functools.lru_cache(1 << 16)
+def place(path: tuple[str, ...]) -> int:
+    """0: boilerplate, 1: content outside of a region, 2: content in a region."""
+    return 0 if boilerplate(_inside(path)) else 2 if any(r in path for r in REGIONS) else 1
+
+
+def digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def _host():
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-def infer(pages: DataFrame) -> DataFrame:
-    """(host, slots): the content slots of each host's wrapper."""
-    spark = pages.sparkSession
+PARSED = "page_id long, url string, host string, salt int, stream string, slots array<int>, places array<int>, texts array<string>"
 
-    def folded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def parse(pages: DataFrame) -> DataFrame:
+    """Each page's folded stream and its texts outside of boilerplate, with their slots in that stream."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for host, page in zip(b["host"], b["html"], strict=True):
-                t, texts = tree(page)
-                out.append((host, json.dumps(t), "", ""))
-                # Texts of outside the regions are candidates for constant boilerplate.
-                out += [(host, "", path, text) for path, text in dict(texts).items() if not any(r in path.split("/") for r in REGIONS)]
-            yield pd.DataFrame(out, columns=["host", "stream", "slot", "text"])
-
-    rows = pages.select(_host().alias("host"), F.coalesce("html", F.lit("")).alias("html")).mapInPandas(
-        folded, "host string, stream string, slot string, text string")
-    counted = written(spark, rows.groupBy("host", "stream", "slot", F.xxhash64("text").alias("text")).agg(F.count("*").alias("n")), "html-streams")
-    pages_of = counted.where("stream <> ''").groupBy("host").agg(F.sum("n").alias("pages"))
-    constant = (counted.where("stream = ''").groupBy("host", "slot").agg(F.max("n").alias("n")).join(pages_of, "host")
-                .where((F.col("n") >= SAME_PAGES) & (F.col("n") >= SAME_SHARE * F.col("pages")))
-                .groupBy("host").agg(F.collect_set("slot").alias("constant")))
+            for page_id, url, host, salt, page in zip(b["page_id"], b["url"], b["host"], b["salt"], b["html"], strict=True):
+                root, texts = tree(page)
+                slot, at, todo = [0] * len(texts), 0, root[1][::-1]
+                while todo:
+                    node = todo.pop()
+                    if node[0] == "#":
+                        for i in node[4]:
+                            slot[i] = at
+                        at += 1
+                    todo += node[1][::-1]
+                kept = [(k, p, t) for k, (path, t) in zip(slot, texts, strict=True) if (p := place(path))]
+                out.append((page_id, url, host, salt, json.dumps(bare(root)), *([x[c] for x in kept] for c in range(3))))
+            yield pd.DataFrame(out, columns=["page_id", "url", "host", "salt", "stream", "slots", "places", "texts"])
+
+    rows = pages.select("page_id", "url", _host().alias("host"), F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int").alias("salt"),
+                        F.coalesce("html", F.lit("")).alias("html"))
+    return written(pages.sparkSession, rows.mapInPandas(run, PARSED), "html-pages")
+
+
+def infer(parsed: DataFrame) -> DataFrame:
+    """(host, wrapper) of parsed pages."""
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Align the streams of a host (sorted together) into one wrapper, one stream at a time."""
@@ -252,7 +311,7 @@ def infer(pages: DataFrame) -> DataFrame:
             for h, stream in zip(b["host"], b["stream"], strict=True):
                 t = json.loads(stream)
                 if h == host and wrapper is not None:
-                    wrapper = ["", align(wrapper[1], t[1]), False, False]
+                    wrapper = joined(wrapper, t)
                 else:
                     if wrapper is not None:
                         out.append((host, json.dumps(wrapper)))
@@ -261,38 +320,81 @@ def infer(pages: DataFrame) -> DataFrame:
         if wrapper is not None:
             yield pd.DataFrame([(host, json.dumps(wrapper))], columns=["host", "wrapper"])
 
-    streams = counted.where("stream <> ''").select("host", "stream").distinct()
+    streams = parsed.select("host", "stream").distinct()
     # Two levels: partial wrappers by salt, then one per host; both stream through sorted partitions.
     partial = streams.withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(SALTS))).withColumn("host", F.concat_ws("\x01", "salt", "host"))
     partial = partial.repartition("host").sortWithinPartitions("host", "stream").select("host", "stream").mapInPandas(merge, "host string, wrapper string")
     whole = (partial.select(F.expr("substr(host, instr(host, '\x01') + 1)").alias("host"), F.col("wrapper").alias("stream"))
              .repartition("host").sortWithinPartitions("host", "stream").mapInPandas(merge, "host string, wrapper string"))
+    return written(parsed.sparkSession, whole, "html-wrappers")
+
+
+class Matcher:
+    """Wrapper slots of the texts of pages; the last wrapper and its streams are remembered."""
 
-    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def __init__(self):
+        self.wrapper, self.groups, self.known = None, [], {}
+
+    def slots(self, wrapper: str, stream: str, own: list[int]) -> list[int]:
+        if wrapper != self.wrapper:
+            self.wrapper, self.groups, self.known = wrapper, numbered(json.loads(wrapper)[1]), {}
+        got = self.known.get(stream)
+        if got is None:
+            got = dict(match(numbered(json.loads(stream)[1]), self.groups))
+            if len(self.known) < 10_000:
+                self.known[stream] = got
+        return [got[k] for k in own]
+
+
+def _salted(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def constants(parsed: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, constant): the wrapper slots of each host with the digests of the texts that most of its pages have there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = Matcher()
         for b in batches:
-            yield pd.DataFrame({"host": b["host"], "slots": [content_slots(json.loads(w), set(c) if c is not None else set())
-                                                            for w, c in zip(b["wrapper"], b["constant"], strict=True)]})
+            out = []
+            for host, wrapper, stream, own, places, texts in zip(b["host"], b["wrapper"], b["stream"], b["slots"], b["places"], b["texts"], strict=True):
+                # Texts outside of the regions are candidates for constant boilerplate; a page counts once.
+                at = matcher.slots(wrapper, stream, own)
+                out += [(host, k, h) for k, h in {(k, digest(t)) for k, p, t in zip(at, places, texts, strict=True) if p == 1}]
+            yield pd.DataFrame(out, columns=["host", "slot", "text"])
 
-    return written(spark, whole.join(constant, "host", "left").select("host", "wrapper", "constant").mapInPandas(
-        chosen, "host string, slots array<string>"), "html-wrappers")
+    pages_of = parsed.groupBy("host").agg(F.count("*").alias("pages"))
+    counted = (parsed.where(F.array_contains("places", 1)).join(_salted(wrappers), ["host", "salt"])
+               .select("host", "wrapper", "stream", "slots", "places", "texts")
+               .mapInPandas(run, "host string, slot int, text long").groupBy("host", "slot", "text").agg(F.count("*").alias("n")))
+    return (counted.join(pages_of, "host").where((F.col("n") >= SAME_PAGES) & (F.col("n") >= SAME_SHARE * F.col("pages")))
+            .groupBy("host").agg(F.collect_list(F.struct("slot", "text")).alias("constant"))
+            .select("host", F.col("constant.slot").alias("constant_slots"), F.col("constant.text").alias("constant_texts")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    wrappers = infer(pages).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), _host().alias("host"),
-                        F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int").alias("salt"))
+    parsed = parse(pages)
+    wrappers = infer(parsed)
+    wrappers = written(pages.sparkSession, wrappers.join(constants(parsed, wrappers), "host", "left"), "html-constants")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = Matcher()
         for b in batches:
             out = []
-            for page_id, url, page, wanted in zip(b["page_id"], b["url"], b["html"], b["slots"], strict=True):
-                keep = set(wanted)
-                good = [(path, t) for path, t in tree(page)[1] if path in keep]
-                # A page without content slots in a region has its text in its other slots.
-                text = "\n".join(t for _, t in [x for x in good if regional(x[0])] or good)
+            for page_id, url, wrapper, slots, digests, stream, own, places, texts in zip(
+                    b["page_id"], b["url"], b["wrapper"], b["constant_slots"], b["constant_texts"], b["stream"], b["slots"], b["places"], b["texts"], strict=True):
+                if 2 in places:
+                    good = [t for p, t in zip(places, texts, strict=True) if p == 2]
+                elif slots is None:
+                    good = texts
+                else:
+                    constant = set(zip(slots, digests, strict=True))
+                    good = [t for k, t in zip(matcher.slots(wrapper, stream, own), texts, strict=True) if (k, digest(t)) not in constant]
+                text = "\n".join(good)
                 out.append((page_id, url, text, len(text)))
             yield pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars"])
 
-    return rows.join(wrappers, ["host", "salt"]).select("page_id", "url", "html", "slots").mapInPandas(
-        run, "page_id long, url string, text string, n_chars long")
+    return (parsed.join(_salted(wrappers), ["host", "salt"])
+            .select("page_id", "url", "wrapper", "constant_slots", "constant_texts", "stream", "slots", "places", "texts")
+            .mapInPandas(run, "page_id long, url string, text string, n_chars long"))

@@ -217,6 +217,31 @@ def test_regions_are_chosen_per_page(spark):
     assert extracted(spark, pages) == {0: "in", 1: "plain", 2: "pool", 3: "other site"}
 
 
+def test_constant_texts_leave_alone_what_shares_their_path(spark):
+    pages = [("http://h.example/", f"<body><div><p>Always first</p><p>one {i}</p><p>two {i}</p><p>Thanks for reading.</p></div></body>") for i in range(10)]
+    assert extracted(spark, pages) == {i: f"one {i}\ntwo {i}" for i in range(10)}
+    pages = [("http://h.example/", f"<div><p>{'Same' if i < 5 else 'x'}</p><ul><li>z{i}</ul><p>{'Same' if i >= 5 else 'y'}</p></div>") for i in range(10)]
+    got = extracted(spark, pages)  # on half of the pages at either position
+    assert got[0] == "Same\nz0\ny" and got[9] == "x\nz9\nSame"
+
+
+def test_matching_covers_every_page():
+    rng = random.Random(11)
+
+    def part(depth):
+        return "".join(rng.choice(["t<hr>", f"<p>a{part(depth - 1)}</p>" if depth else "b", f"<div>{part(depth - 1)}</div>" if depth else "c", "<ul><li>x<li>y</ul>"])
+                       for _ in range(rng.randrange(4)))
+
+    trees = [html_wrapper.tree(part(3))[0] for _ in range(60)]
+    wrapper = trees[0]
+    for t in trees[1:]:
+        wrapper = html_wrapper.joined(wrapper, t)
+    groups = html_wrapper.numbered(wrapper[1])
+    for t in trees:
+        own = html_wrapper.numbered(t[1])
+        assert [k for k, _ in html_wrapper.match(own, groups)] == list(range(sum(x[3] for x in own)))
+
+
 # 7
 def test_quality_separates_held_out_rows(spark):
     rng = random.Random(4)

@@ -1,7 +1,10 @@
 """Secret scans: a worklist of decoded layers, each rescanned, spans mapped to the text.
 
-Layer 0 is the text.  Every layer is searched for URL-escaped, Unicode-escaped
-and base64 stretches and, once bytes were decoded, for gzip, zlib, bzip2 and
+Layer 0 is the text.  URL and Unicode escapes of a layer are decoded in the whole
+layer at once, so that a keyword and its value meet wherever either was escaped;
+each escaped stretch is a layer of its own as well (what stands before it may
+else take up its keyword as a value).  Every layer is searched for
+base64 stretches and, once bytes were decoded, for gzip, zlib, bzip2 and
 xz streams; what decodes to text becomes a new layer on the worklist until no
 new layer appears.  A layer whose content was already seen for the same stretch
 of the text is not opened again, so cycles end.  Each character of a layer
@@ -28,7 +31,6 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pandas as pd
@@ -47,6 +49,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so shorter ones may be l
 # They start where a run of their characters starts, so a long run without escapes is read once.
 URL = re.compile(r"(?<![A-Za-z0-9_.~+*'(),:;@&=/?$!-])(?:[A-Za-z0-9_.~+*'(),:;@&=/?$!-]*%[0-9A-Fa-f]{2})+[A-Za-z0-9_.~+*'(),:;@&=/?$!-]*")
 UNICODE = re.compile(r"(?<![\x21-\x5B\x5D-\x7E])(?:[\x21-\x5B\x5D-\x7E]*(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};))+[\x21-\x5B\x5D-\x7E]*")
+URL_ESCAPE = re.compile(r"%([0-9A-Fa-f]{2})")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|(&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 MAGIC = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78\x01", zlib.decompressobj), (b"\x78\x5e", zlib.decompressobj),
@@ -76,51 +79,39 @@ def _printable(data: bytes) -> str | None:
     return text if sum(c.isprintable() or c in "\r\n\t" for c in text) >= 0.9 * len(text) else None
 
 
-def _url(s: str) -> tuple[str, list[int], list[int]] | None:
-    text = unquote_to_bytes(s.encode("utf-8", "surrogatepass")).decode("utf-8", "replace")
-    # One decoded character comes from one plain character or from the escapes of its bytes.
-    starts, ends, at = [], [], 0
-    for c in text:
-        need = max(len(c.encode("utf-8", "surrogatepass")), 1) if s[at : at + 1] == "%" else 1
-        if c == "�":
-            need = 1
-        starts.append(at)
-        if s[at : at + 1] == "%":
-            at = min(at + 3 * need, len(s))
-        else:
-            at += 1
-        ends.append(at)
-    return (text, starts, ends) if text != s else None
-
-
-def _escapes(s: str) -> tuple[str, list[int], list[int]] | None:
+def _url(m: re.Match) -> str:
+    return chr(int(m[1], 16))
+
+
+def _escape(m: re.Match) -> str:
+    if m[5]:
+        return html.unescape(m[5])
+    code = int(next(g for g in m.groups()[:4] if g), 16)
+    return chr(code) if code < 0x110000 else "�"
+
+
+def _unescaped(s: str, escape: re.Pattern, char) -> tuple[str, list[int], list[int]] | None:
+    """``s`` with every escape decoded, and where each character starts and ends in ``s``.
+
+    All patterns are ASCII, so the bytes of other characters may stay apart.
+    """
     out, starts, ends, at = [], [], [], 0
-    for m in ESCAPE.finditer(s):
-        for i in range(at, m.start()):
-            out.append(s[i])
-            starts.append(i)
-            ends.append(i + 1)
-        code = next((g for g in m.groups()[:4] if g), None)
-        c = html.unescape(m[5]) if m[5] else chr(int(code, 16)) if int(code, 16) < 0x110000 else "�"
-        for ch in c:
-            out.append(ch)
-            starts.append(m.start())
-            ends.append(m.end())
-        at = m.end()
-    for i in range(at, len(s)):
-        out.append(s[i])
-        starts.append(i)
-        ends.append(i + 1)
-    text = "".join(out).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-    if len(text) != len(out):  # surrogate pairs became one character
-        merged, k = ([], []), 0
-        for ch in text:
-            step = 2 if ord(ch) > 0xFFFF and k + 1 < len(out) and 0xD800 <= ord(out[k]) < 0xDC00 else 1
-            merged[0].append(starts[k])
-            merged[1].append(ends[k + step - 1])
-            k += step
-        starts, ends = merged
-    return (text, starts, ends) if text != s else None
+    for m in escape.finditer(s):
+        a, b = m.span()
+        c = char(m)
+        out += s[at:a], c
+        starts.extend(range(at, a))
+        ends.extend(range(at + 1, a + 1))
+        starts.extend([a] * len(c))
+        ends.extend([b] * len(c))
+        at = b
+    if not at:
+        return None
+    out.append(s[at:])
+    starts.extend(range(at, len(s)))
+    ends.extend(range(at + 1, len(s) + 1))
+    text = "".join(out)
+    return (text, starts, ends) if text else None
 
 
 def _inflate(data: bytes) -> bytes | None:
@@ -160,7 +151,26 @@ def _base64(s: str) -> tuple[str, list[int], list[int]] | None:
     return text, starts, [min(len(s), (int(b) * 4 + 2) // 3) for b in first[1:]]
 
 
-DECODERS = ((URL, "%", _url), (UNICODE, "\\", _escapes), (UNICODE, "&#", _escapes), (BASE64, "", _base64))
+#: Characters of which a layer must have one, the escapes, what one stands for, and stretches with escapes.
+ESCAPES = ((("%",), URL_ESCAPE, _url, URL), (("\\", "&#"), ESCAPE, _escape, UNICODE))
+
+
+def _decoded(layer: str) -> Iterator[tuple[int, tuple[str, list[int], list[int]] | None]]:
+    """(unopened layers, (text, starts, ends)) of all that is encoded in a layer."""
+    for needs, escape, char, stretch in ESCAPES:
+        if any(n in layer for n in needs):
+            yield 0, _unescaped(layer, escape, char)
+            for m in stretch.finditer(layer):
+                if (got := _unescaped(m.group(), escape, char)) is not None:
+                    yield 0, (got[0], [m.start() + x for x in got[1]], [m.start() + x for x in got[2]])
+    for m in BASE64.finditer(layer):
+        try:
+            got = _base64(m.group())
+        except Unopened:
+            yield 1, None
+            continue
+        if got is not None:
+            yield 0, (got[0], [m.start() + x for x in got[1]], [m.start() + x for x in got[2]])
 
 
 def scan(text: str | None) -> tuple[list, list, int]:
@@ -175,27 +185,18 @@ def scan(text: str | None) -> tuple[list, list, int]:
         layer, starts, ends = work.popleft()
         if starts is not None:
             for a, b, kind in find(layer):
-                found.add((min(starts[a:b]), max(ends[a:b]), kind))
-        for pattern, needs, decode in DECODERS:
-            if needs not in layer:
+                found.add((int(starts[a:b].min()), int(ends[a:b].max()), kind))
+        for lost, got in _decoded(layer):
+            unopened += lost
+            if got is None:
                 continue
-            for m in pattern.finditer(layer):
-                try:
-                    got = decode(m.group())
-                except Unopened:
-                    unopened += 1
-                    continue
-                if got is None:
-                    continue
-                inner, s, e = got
-                if starts is None:
-                    s, e = [m.start() + x for x in s], [m.start() + x for x in e]
-                else:
-                    s, e = [starts[m.start() + x] for x in s], [ends[max(m.start() + x - 1, m.start())] for x in e]
-                key = (s[0], e[-1], hashlib.blake2b(inner.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-                if key not in seen:  # cycle detection
-                    seen.add(key)
-                    work.append((inner, s, e))
+            inner, s, e = got[0], np.array(got[1], np.int64), np.array(got[2], np.int64)
+            if starts is not None:
+                s, e = starts[s], ends[np.maximum(e - 1, 0)]
+            key = (int(s[0]), int(e[-1]), hashlib.blake2b(inner.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+            if key not in seen:  # cycle detection
+                seen.add(key)
+                work.append((inner, s, e))
     return base, list(found), unopened
 
 

@@ -57,6 +57,20 @@ def test_secret_scan_reads_a_long_run_once():
     assert base == [] and spans == [(at, at + 22, "access")]
 
 
+@pytest.mark.parametrize("text", ['a password="AbCd%2BEfGhIjKlMnOp" b', "a token: AbCd%2BEfGhIjKlMnOp b", 'a "api_key": "AbCd\\u002BEfGhIjKlMnOp" b',
+                                  "a t%6Fken: AbCdEfGhIjKlMnOp b", "a &#116;oken = AbCdEfGhIjKlMnOp b", "a \\u0074oken: AbCd%252BEfGhIjKlMnOp b"])
+def test_secret_keyword_and_value_meet_across_escapes(text):
+    base, spans, _ = secrets.scan(text)
+    a = min(text.index(k) for k in ("pass", "t%6F", "&#116;", "\\u0074", "token", "api") if k in text)
+    assert base == []
+    assert (a, text.index("MnOp") + 4, "assign") in spans
+
+
+def test_secret_stretches_stay_layers_of_their_own():
+    text = "token: password%3A%20abcdefghijklmn"  # in the whole layer the keyword is the first one's value
+    assert (7, len(text), "assign") in secrets.scan(text)[1]
+
+
 # 2
 def brute_repeats(texts, k=400):
     data = [(t or "").encode() for t in texts]

@@ -1,9 +1,11 @@
 """The corpus operators against brute force on small fixtures, with nulls, empties, ties and clashing columns."""
 
 import base64
+import bz2
 import collections
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -71,6 +73,44 @@ def test_secret_stretches_stay_layers_of_their_own():
     assert (7, len(text), "assign") in secrets.scan(text)[1]
 
 
+def wrapped(data, n=76, end="\n"):
+    b = base64.b64encode(data).decode()
+    return end.join(b[i : i + n] for i in range(0, len(b), n))
+
+
+NOISE = random.Random(12).randbytes(150)
+SECRET = b"token = AbCdEfGhIjKlMnOp0123"
+PACKED = gzip.compress(NOISE.hex().encode()[:40] + b" " + SECRET)
+
+
+@pytest.mark.parametrize("packed", [
+    *[f"{glue}{base64.b64encode(SECRET).decode()}" for glue in ("/x/", "ab_", "k-", "/a/longer/path/", "x")],
+    *[f"{glue}{base64.b64encode(PACKED).decode()}" for glue in ("/x/", "ab_", "k-", "")],
+    *[wrapped(b"first line of some words, then more of them, " + SECRET, 64, end) for end in ("\n", "\r\n  ", "\\n")],
+    wrapped(gzip.compress(NOISE + SECRET)), wrapped(bz2.compress(NOISE + SECRET)), wrapped(lzma.compress(NOISE + SECRET)),
+    urllib.parse.quote(PACKED), "".join(f"%{c:02x}" for c in PACKED), "".join(f"\\x{c:02x}" for c in PACKED), str(PACKED)[2:-1],
+    "".join(f"\\u{c:04x}" for c in PACKED), "data=" + urllib.parse.quote(zlib.compress(SECRET)),
+    base64.b64encode(gzip.compress(b"nothing") + PACKED).decode(), base64.b64encode(gzip.compress(b"toke") + gzip.compress(SECRET[4:])).decode(),
+    *[base64.b64encode(SECRET.decode().encode(code)).decode() for code in ("utf-16", "utf-16-le", "utf-16-be")],
+    base64.b64encode("clé ".encode("latin-1") + SECRET).decode(), base64.b64encode(gzip.compress(urllib.parse.quote(PACKED).encode())).decode()])
+def test_secret_layers_in_every_form(packed):
+    text = f"é before {packed} after"
+    base, spans, unopened = secrets.scan(text)
+    start = text.index(packed)
+    assert any(start <= a < b <= start + len(packed) for a, b, k in spans if k == "assign") and not unopened
+
+
+def test_secret_streams_beyond_a_layer_are_read_in_blocks(monkeypatch):
+    monkeypatch.setattr(secrets, "LAYER_BYTES", 1 << 16)
+    monkeypatch.setattr(secrets, "PIECE", 1 << 12)
+    for at in (0, (1 << 16) - 10, 300_000):
+        packed = base64.b64encode(gzip.compress(b"." * at + SECRET + b"." * 400_000)).decode()
+        base, spans, unopened = secrets.scan(f"a {packed} b")
+        assert spans == [(2, 2 + len(packed), "assign")] and not unopened
+    inner = gzip.compress(random.Random(13).randbytes(200_000) + SECRET)
+    assert secrets.scan(base64.b64encode(gzip.compress(b"." * 60_000 + inner)).decode())[2] > 0
+
+
 # 2
 def brute_repeats(texts, k=400):
     data = [(t or "").encode() for t in texts]

@@ -78,6 +78,11 @@ def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
     return reach + longest
 
 
+def _one(unit: str) -> bool:
+    """A unit of letters is one pre-token, after a space or not; an opening quote may begin a contraction."""
+    return unit.isalpha() or unit[0] == " " and unit[1:].isalpha()
+
+
 class IncrementalText:
     """Byte-to-text state machine: holds back at most one incomplete character."""
 
@@ -263,7 +268,7 @@ class BpeCodec:
         """(tokens, their ids each after a comma, their bytes) of one unit; a miss of the young cache."""
         got = self.old.pop(u, None)
         if got is None:
-            spans = [u] if u[1:].isalpha() else self.pattern.findall(u)
+            spans = [u] if _one(u) else self.pattern.findall(u)
             if len(spans) == 1:
                 got = self._entry(self.word(u))
             else:
@@ -280,7 +285,7 @@ class BpeCodec:
         for u in new:
             u = " " + u
             if len(u) <= 64 and u not in self.units and u not in self.old:
-                words.update([u] if u[1:].isalpha() else self.pattern.findall(u))
+                words.update([u] if _one(u) else self.pattern.findall(u))
         todo = [(w, d) for w in words if w not in self.units and w not in self.old and 1 < len(d := w.encode("utf-8", "surrogatepass")) <= 32]
         for low, width in ((0, 12), (12, 20), (20, 32)):
             some = [(w, d) for w, d in todo if low < len(d) <= width]

@@ -379,6 +379,19 @@ def test_bpe_equals_the_library(codec):
         assert list(codec.encode(x)) == ids and "".join(codec.decode(ids)) == text
 
 
+def test_bpe_opening_quotes_equal_the_library(codec):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for w in ("'man", "'three", "'very", "'said", "'down", "'lleno", "'real", "'s", "'x", "!man", "\tman", "1man", "éa", "ªb"):
+        for x in (w, w + " and more", f"<|endoftext|>{w} a", f"a {w} b", f"{w} {w}", f"{w}  b"):
+            ids = t.encode(x, add_special_tokens=False).ids
+            for warm in ([], [x]):
+                codec.warm(warm)
+                assert codec.digests(x)[:2] == (len(ids), sha(",".join(map(str, ids)))), x
+
+
 def test_lookahead_suffices(codec):
     rng = random.Random(9)
     for _ in range(20):

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from emporia.oracle.duckdb_sql import (
     CUSTOMER_REVENUE, DELIVERY_QUALITY, FACT_ORDERS_COLS, FACT_SALES_COLS, PRODUCT_PERFORMANCE, SALES_SUMMARY,
-    TS1, _cnt, _dec, _int, _nz, _rate, _ts, bronze_sql, bronze_two_loads_sql, calendar_from_orders_sql, calendar_sql, dim_merge_sql,
-    silver_merge_sql, silver_sql, source_sql, with_base,
+    TS1, TS2, _cnt, _dec, _int, _nz, _rate, _ts, bronze_sql, bronze_two_loads_sql, calendar_from_orders_sql, calendar_sql, dim_merge_sql,
+    fact_two_loads_sql, silver_after_sql, silver_merge_sql, silver_sql, source_sql, with_base,
 )
 
 FEEDS = ("customers", "orders", "order_items", "products", "payments")
@@ -117,6 +117,11 @@ def oracle_sql() -> dict[str, str]:
     for n in FEEDS:
         q[f"silver_{n}"] = silver_sql(n)
     q["silver_upsert"] = silver_merge_sql("customers")
+    for n in FEEDS:
+        if n != "customers":
+            q[f"silver_upsert_{n}"] = silver_after_sql(n)
+        q[f"gold_incremental_filter_{n}"] = (
+            f"SELECT * EXCLUDE (merge_action) FROM ({silver_after_sql(n)}) WHERE merge_action <> 'keep'")
     q["silver_load_counts"] = _count_rows([(SILVER_NAMES[n], f"({silver_sql(n)})") for n in FEEDS])
     q.update(_dq())
     q["dim_customers"] = dim_merge_sql("customers")
@@ -169,6 +174,16 @@ JOIN ({_count_rows([("dim_customers", "s_customers"), ("dim_products", "s_produc
                           ("silver_products", silver_merge_sql("products")),
                           ("gold_dim_customers", dim_merge_sql("customers")),
                           ("gold_dim_products", dim_merge_sql("products")))])
+    for n in ("fact_sales", "fact_orders"):
+        q[f"{n}_two_loads"] = fact_two_loads_sql(n)
+    merged = [(f"silver_{n}", silver_after_sql(n)) for n in FEEDS]
+    merged += [(f"gold_dim_{n}", dim_merge_sql(n)) for n in ("customers", "products")]
+    appended = [(f"bronze_{n}", "ingestion_timestamp", bronze_two_loads_sql(n)) for n in FEEDS]
+    appended += [(f"gold_{n}", "created_at", fact_two_loads_sql(n)) for n in ("fact_sales", "fact_orders")]
+    merged += [(n, f"SELECT if({c} = {TS2}, 'insert', 'keep') AS merge_action FROM ({src})") for n, c, src in appended]
+    q["ctl_rows_affected_all"] = _union([
+        f"SELECT '{name}' AS table_name, {ins} AS rows_inserted, {upd} AS rows_updated, "
+        f"{ins} + {upd} AS rows_out FROM ({src})" for name, src in merged])
     parts = [f"SELECT count(*) AS n FROM ({bronze_sql(n)})" for n in FEEDS]
     parts += [f"SELECT count(*) AS n FROM ({silver_sql(n)})" for n in FEEDS]
     q["ctl_run_rows_total"] = with_base(

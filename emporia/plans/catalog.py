@@ -19,7 +19,7 @@ from emporia.operators import gold as G
 from emporia.operators.merge import ACTION
 from emporia.plans import dashboards as D
 from emporia.plans import reports as R
-from emporia.plans.world import TS1, World
+from emporia.plans.world import TS1, TS2, World
 from emporia.schemas import FEEDS, LOAD_SNAPSHOT, PAYMENT_NOT_DEFINED, RUN_MAIN, SILVER_SPECS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,10 @@ def silver_upsert(spark, sf):
     return _w(spark, sf).silver_upsert("customers").withColumnRenamed(ACTION, "merge_action")
 
 
+def _silver_upsert(name: str) -> Query:
+    return lambda spark, sf: _w(spark, sf).silver_upsert(name).withColumnRenamed(ACTION, "merge_action")
+
+
 # ---- data-quality flags, per bronze row ----------------------------------
 def _orders_flag(expr_fn) -> Query:
     def q(spark, sf):
@@ -223,6 +227,19 @@ def gold_incremental_filter(spark, sf):
     return G.changed_since(merged, TS1).select("customer_id", "customer_city", "created_at", "updated_at")
 
 
+def _incremental_filter(name: str) -> Query:
+    """Silver rows changed after the first load's watermark, whole."""
+    return lambda spark, sf: G.changed_since(_w(spark, sf).silver_after(name), TS1)
+
+
+def fact_sales_two_loads(spark, sf):
+    return _w(spark, sf).fact_two_loads("fact_sales")
+
+
+def fact_orders_two_loads(spark, sf):
+    return _w(spark, sf).fact_two_loads("fact_orders")
+
+
 def first_payment_per_order(spark, sf):
     return G.first_payment_per_order(_w(spark, sf).silver("payments"))
 
@@ -301,6 +318,25 @@ def ctl_rows_affected(spark, sf):
     return out
 
 
+def ctl_rows_affected_all(spark, sf):
+    """Rows inserted / updated by the second load of every bronze, silver and gold table."""
+    w = _w(spark, sf)
+    merged = {f"silver_{n}": w.silver_upsert(n) for n in FEEDS}
+    merged |= {f"gold_dim_{n}": w.dim_two_loads(n) for n in ("customers", "products")}
+    appended = {f"bronze_{n}": (w.bronze_two_loads(n), "ingestion_timestamp") for n in FEEDS}
+    appended |= {f"gold_{n}": (w.fact_two_loads(n), "created_at") for n in ("fact_sales", "fact_orders")}
+    tests = {n: (df, F.col(ACTION) == "insert", F.col(ACTION) == "update") for n, df in merged.items()}
+    tests |= {n: (df, F.col(c) == F.lit(TS2).cast("timestamp_ntz"), F.lit(False)) for n, (df, c) in appended.items()}
+    out = None
+    for name, (df, inserted, updated) in tests.items():
+        c = df.agg(F.count_if(inserted).cast("long").alias("rows_inserted"),
+                   F.count_if(updated).cast("long").alias("rows_updated")).select(
+            F.lit(name).alias("table_name"), "rows_inserted", "rows_updated",
+            (F.col("rows_inserted") + F.col("rows_updated")).alias("rows_out"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
 def ctl_run_rows_total(spark, sf):
     """Rows processed by bronze + silver + gold in one snapshot run (source excluded)."""
     w = _w(spark, sf)
@@ -371,6 +407,10 @@ def registry() -> dict[str, Query]:
     for n in FEEDS:
         q[f"silver_{n}"] = _silver(n)
     q["silver_upsert"] = silver_upsert
+    for n in FEEDS:
+        if n != "customers":
+            q[f"silver_upsert_{n}"] = _silver_upsert(n)
+        q[f"gold_incremental_filter_{n}"] = _incremental_filter(n)
     q["silver_load_counts"] = silver_load_counts
     q["dq_delivery_inconsistent"] = _orders_flag(
         lambda st: Q.delivery_inconsistent(st, "order_delivered_customer_date"))
@@ -391,7 +431,7 @@ def registry() -> dict[str, Query]:
               gold_incremental_filter, first_payment_per_order, date_key_lookup, order_item_totals,
               order_payment_totals, gold_load_counts, sales_summary, product_performance,
               customer_revenue, delivery_quality, ctl_reconcile_counts, ctl_rows_affected,
-              ctl_run_rows_total, dash_monthly_revenue, dash_payment_split, dash_top_products,
+              fact_sales_two_loads, fact_orders_two_loads, ctl_rows_affected_all, ctl_run_rows_total, dash_monthly_revenue, dash_payment_split, dash_top_products,
               dash_category_revenue, dash_free_shipping, dash_customer_ltv, dash_repeat_customers,
               dash_revenue_by_state, dash_late_rate, dash_dq_by_month, dash_cancellations):
         q[f.__name__] = f

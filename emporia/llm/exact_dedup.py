@@ -12,7 +12,10 @@ its bucket.
 Two texts are equal when they are identical after each run of space, tab, line
 feed, vertical tab, form feed and carriage return became one space; a null text
 counts as empty, so null and empty texts are one group.  Of equal texts the
-smallest ``doc_id`` stays (ties: a repeated ``doc_id`` stays once per row).  An
+smallest ``doc_id`` stays (ties: a repeated ``doc_id`` stays once per row).  One
+``doc_id`` may stand on rows of different texts: a row belongs to its text's group.
+Null ids come after all others; a text that only null ids have has a null
+``keep_id``, and its rows stay.  An
 empty table gives an empty result; columns other than ``doc_id`` and ``text``
 are not read.
 """
@@ -177,12 +180,12 @@ def equal_bytes(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     move, one pair per distinct text, so no hot group forms.
     """
     ends = pairs.select(F.explode(F.array("rep", "old")).alias("doc_id"), "hex")
-    texts = docs.select("doc_id", normalised().alias("t"))
-    met = ends.join(texts, "doc_id").groupBy("hex").agg(F.min("t").alias("a"), F.max("t").alias("b"))
+    texts = docs.select(F.col("doc_id").alias("id"), normalised().alias("t")).withColumn("h", F.sha2("t", 256))
+    met = ends.join(texts, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("hex"))).groupBy("hex").agg(F.min("t").alias("a"), F.max("t").alias("b"))
     return pairs.join(met.where("a = b").select("hex"), "hex", "left_semi")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text an earlier ``doc_id`` has; all columns stay."""
-    keep = classes(docs).where("doc_id = keep_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    keep = classes(docs).where("doc_id <=> keep_id").select(F.col("doc_id").alias("_keep_id"), F.col("hex").alias("_keep_hex")).distinct()
+    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_keep_id")) & (F.sha2(normalised(), 256) == F.col("_keep_hex")), "left_semi")

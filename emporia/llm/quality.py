@@ -93,14 +93,21 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
+def with_statistics(docs: DataFrame, keyed: bool = False) -> DataFrame:
+    """(doc_id, x) of every row, and the key of its text if ``keyed``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts, ids = as_bytes(b["text"]), b["doc_id"].to_numpy()
             for lo, hi in _slices(texts):
-                yield pd.DataFrame({"doc_id": ids[lo:hi], "x": list(statistics(texts[lo:hi]))})
+                out = {"doc_id": ids[lo:hi], "x": list(statistics(texts[lo:hi]))}
+                yield pd.DataFrame(out | {"key": b["key"].to_numpy()[lo:hi]} if keyed else out)
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, x array<double>")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *([_key().alias("key")] if keyed else []))
+    return rows.mapInPandas(run, "doc_id long, x array<double>" + ", key string" * keyed)
+
+
+def _key():
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
 
 
 class Fourier:
@@ -212,10 +219,10 @@ def fit(rows: DataFrame) -> Model:
     return model
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
+def scored(docs: DataFrame, labels: DataFrame, keyed: bool = False) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted, and the key of its text if ``keyed``."""
     spark = docs.sparkSession
-    stats = written(spark, with_statistics(docs), "quality-stats")
+    stats = written(spark, with_statistics(docs, keyed), "quality-stats")
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
     learn = labels.select("doc_id", F.col("quality").cast("double").alias("y")).where("y in (0.0, 1.0)").where(remainder != 1)
     rows = written(spark, stats.join(learn, "doc_id").select("x", "y"), "quality-train")
@@ -225,13 +232,18 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for b in batches:
             if len(b):
                 s = model.score(np.stack([np.asarray(x) for x in b["x"]]))
-                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "score": s})
+                out = {"doc_id": b["doc_id"].to_numpy(), "score": s}
+                yield pd.DataFrame(out | {"key": b["key"].to_numpy()} if keyed else out)
 
-    out = stats.mapInPandas(run, "doc_id long, score double")
-    return out.select("doc_id", (remainder == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    out = stats.mapInPandas(run, "doc_id long, score double" + ", key string" * keyed)
+    return out.select("doc_id", (remainder == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                      *(["key"] if keyed else []))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the classifier rejects; all columns stay."""
-    keep = scored(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    """``docs`` without the documents that the classifier rejects; all columns stay.
+
+    A score depends on the text alone, so rows are kept by their text: ids may be null or repeated.
+    """
+    keep = scored(docs, labels, keyed=True).where("predicted = 1").select(F.col("key").alias("_keep_key")).distinct()
+    return docs.join(keep, _key() == F.col("_keep_key"), "left_semi")

@@ -160,6 +160,21 @@ def test_exact_dedup_equals_brute_force(spark, batches):
     assert got == want
 
 
+def test_exact_dedup_takes_null_and_repeated_ids(spark):
+    rows = [(1, "other"), (2, "same"), (1, "same"), (7, "same"), (None, "only null"), (None, "only null"), (None, "same"), (8, None), (3, "")]
+    rows += [(i, "x") for i in range(20, 60)] + [(20, "y")] + [(i, "y") for i in range(60, 90)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    least = {}
+    for i, t in rows:
+        least[t or ""] = min((x for x in (least.get(t or ""), i) if x is not None), default=None)
+    for batches in (1, 2, 3):
+        got = sorted((tuple(r) for r in exact_dedup.classes(frame, batches).select("doc_id", "keep_id", "group_size").collect()), key=str)
+        want = sorted(((i, least[t or ""], sum((u or "") == (t or "") for _, u in rows)) for i, t in rows), key=str)
+        assert got == want
+    kept = sorted((tuple(r) for r in exact_dedup.dedup(frame).collect()), key=str)
+    assert kept == sorted([(i, t) for i, t in rows if i == least[t or ""]], key=str)
+
+
 # 4
 def brute_hits(texts, items):
     tr = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -309,6 +324,16 @@ def test_quality_separates_held_out_rows(spark):
     assert {r.score for r in quality.scored(docs(spark, texts[:3]), labels.limit(0)).collect()} == {0.5}
 
 
+def test_accepted_rows_go_by_their_text(spark):
+    rng = random.Random(4)
+    texts = [prose(rng, 80) + "." if i % 3 else "### $$$ | " * 40 for i in range(300)]
+    labels = spark.createDataFrame([(i, 1 if i % 3 else 0) for i in range(300)], "doc_id long, quality int")
+    more = [(None, prose(rng, 80) + "."), (None, texts[0]), (1, texts[0])]  # the last one has a good row's id
+    frame = spark.createDataFrame([*enumerate(texts), *more], "doc_id long, text string")
+    kept = collections.Counter((r.doc_id, r.text) for r in quality.accepted(frame, labels).collect())
+    assert kept[more[0]] == 1 and not kept[more[1]] and not kept[more[2]] and kept[1, texts[1]] == 1
+
+
 # 8
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

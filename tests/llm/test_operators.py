@@ -454,3 +454,46 @@ def test_pipeline_keeps_clean_documents(spark):
     assert kept and not any(n for i, (_, n, _) in zip(ids, hits, strict=True) if i in kept)
     good = [i for i in ids if labels.get(i) == 1]
     assert len(kept & set(good)) > 0.6 * len(good)
+
+
+def test_pipeline_equals_brute_force(spark):
+    import corpus_pipeline as pipe
+
+    sf = "/root/testdata/sf0.001"
+    frame = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = quality.accepted(frame, spark.read.parquet(f"{sf}/labels.parquet")).select("doc_id", "text").collect()
+    texts, first = {r.doc_id: r.text or "" for r in rows}, {}
+    for i in sorted(texts):
+        first.setdefault(re.sub("[\x20\x09-\x0d]+", " ", texts[i]), i)
+    left = sorted(first.values())
+    bags = {}
+    for i in left:
+        w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[i]))
+        bags[i] = collections.Counter(zip(*[w[k:] for k in range(5)], strict=False)) if len(w) >= 5 else collections.Counter([tuple(w)] if w else [])
+    size = {i: sum(b.values()) for i, b in bags.items()}
+    parent = {i: i for i in left}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in left:
+        for j in left:
+            if j < i and min(size[i], size[j]) >= 0.8 * max(size[i], size[j]) and size[i]:
+                o = sum((bags[i] & bags[j]).values())
+                if o / (size[i] + size[j] - o) >= 0.8:
+                    a, b = sorted((find(i), find(j)))
+                    parent[b] = a
+    left = [i for i in left if find(i) == i]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    left = [i for i, hit in zip(left, brute_hits([texts[i] for i in left], items), strict=True) if not hit[1]]
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(pipe.tokenizer_path())
+    want = {}
+    for i in left:
+        ids = t.encode(texts[i], add_special_tokens=False).ids
+        want[i] = (len(ids), sha(",".join(map(str, ids))), sha(t.decode(ids, skip_special_tokens=False)))
+    got = [tuple(r) for r in pipe.run(spark, sf).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()]
+    assert len(got) == len(want) < len(rows) and {r[0]: r[1:] for r in got} == want

@@ -26,7 +26,9 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path  # for ``discard``
+    return out
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -115,3 +117,12 @@ def batch_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def as_bytes(values) -> list[bytes]:
     return [b"" if v is None else v.encode("utf-8", "surrogatepass") for v in values]
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the scratch table behind a frame that ``written`` returned, once nothing lazy reads it."""
+    path = getattr(df, "_scratch", None)
+    if path:
+        spark = df.sparkSession
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # type: ignore[attr-defined]
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -27,17 +27,21 @@ from pyspark.sql import functions as F
 from emporia.operators import bronze as B
 from emporia.operators import gold as G
 from emporia.operators.control import Control, new_id
+from emporia.operators.key_index import KeyIndex
 from emporia.operators.merge import ACTION, insert_all, merge
 from emporia.operators.silver import CLEANERS
 from emporia.schemas import (
-    DEFAULT_SOURCE_SYSTEM, FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, RUN_BRONZE, RUN_GOLD, RUN_MAIN, RUN_SILVER,
+    BRONZE_KEYS, DEFAULT_SOURCE_SYSTEM, FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, RUN_BRONZE, RUN_GOLD, RUN_MAIN, RUN_SILVER,
     RUN_SOURCE, SILVER_SPECS,
 )
-from emporia.sources.store import TableStore
+from emporia.sources.store import BATCH, BUCKET, GEN, TableStore, bucket_of, stamp
 
 SNAPSHOT = LOAD_SNAPSHOT
 BRONZE_PARTITION = "ingestion_date"
 FACT_PARTITION = ["order_year"]
+#: Hash buckets of the upserted tables: a merge rewrites those that its keys touch.  Choose it once, so that
+#: a bucket of the grown table holds some 100 MB to 1 GB.
+KEY_BUCKETS = 16
 
 
 @dataclass
@@ -54,9 +58,12 @@ def _now() -> dt.datetime:
     return dt.datetime.now()
 
 
-def _write_counted(df: DataFrame, write: Callable[[DataFrame], object], action_col: bool = False) -> dict[str, int]:
-    """Write ``df`` and return its row counts, observed during the write itself."""
+def _write_counted(df: DataFrame, write: Callable[[DataFrame], object], by: list[str] | None = None,
+                   action_col: bool = False) -> dict[str, int]:
+    """Write ``df``, gathered by ``by``, and return its row counts, observed during the write itself."""
     obs = Observation(f"rows_{new_id()}")
+    if by:  # below the observation: adaptive execution takes out an empty exchange with all that stands under it
+        df = TableStore.gathered(df, by)
     if action_col:
         observed = df.observe(obs, F.count_if(F.col(ACTION) == "insert").alias("inserted"),
                               F.count_if(F.col(ACTION) == "update").alias("updated"))
@@ -68,12 +75,44 @@ def _write_counted(df: DataFrame, write: Callable[[DataFrame], object], action_c
     return {"inserted": int(got.get("inserted") or 0), "updated": int(got.get("updated") or 0)}
 
 
+def append_new(store: TableStore, source: DataFrame, name: str, batch_ts: dt.datetime, load_type: str,
+               source_system: str = DEFAULT_SOURCE_SYSTEM, batch: str | None = None) -> int:
+    """Append the rows of ``source`` whose key bronze lacks, as one batch; returns their number.
+
+    A snapshot (or the first load) starts the table anew.  The batch's name is its time unless given;
+    the same batch again replaces its earlier rows.  Known keys are told by the persisted key index,
+    so the history itself is not read.
+    """
+    batch = batch or stamp(batch_ts)
+    index = KeyIndex(store, name, BRONZE_KEYS[name])
+    existing = None if load_type == SNAPSHOT else store.read("bronze", name)
+    if existing is None:
+        rows = source
+    else:
+        index.catch_up(existing)
+        if batch in store.batches("bronze", name):  # a replay: what it wrote before is no history
+            index.forget(batch)
+        rows = index.new_rows(source)
+    rows = B.stamp(rows, name, batch_ts, source_system).withColumn(BRONZE_PARTITION, F.to_date("ingestion_timestamp"))
+    if existing is None:
+        rows = rows.withColumn(BATCH, F.lit(batch))
+        c = _write_counted(rows, lambda d: store.write_version("bronze", name, d, [BRONZE_PARTITION, BATCH]),
+                           [BRONZE_PARTITION])
+        index.restart()
+    else:
+        c = _write_counted(rows, lambda d: store.append_batch("bronze", name, d, batch, [BRONZE_PARTITION]),
+                           [BRONZE_PARTITION])
+    if batch in store.batches("bronze", name):
+        index.add(store.read("bronze", name).where(F.col(BATCH) == batch), batch)
+    return c["inserted"]
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, root: str, feed_reader: Callable[[str], DataFrame],
                  calendar: tuple[dt.date, dt.date] = G.DEFAULT_CALENDAR,
                  source_system: str = DEFAULT_SOURCE_SYSTEM,
                  clock: Callable[[], dt.datetime] = _now, parallel_tables: int = 5,
-                 keep_versions: int = 2) -> None:
+                 keep_versions: int = 2, key_buckets: int = KEY_BUCKETS) -> None:
         self.spark = spark
         self.store = TableStore(spark, root)
         self.control = Control(spark, self.store)
@@ -83,6 +122,7 @@ class Pipeline:
         self.clock = clock
         self.parallel_tables = parallel_tables
         self.keep_versions = keep_versions
+        self.key_buckets = key_buckets
         self._watermarks: dict[str, dt.datetime | None] | None = None
 
     def _watermark(self, name: str) -> dt.datetime | None:
@@ -129,15 +169,9 @@ class Pipeline:
     # ---- stage 1: bronze --------------------------------------------------
     def load_bronze_table(self, name: str, load_type: str, batch_ts: dt.datetime) -> int:
         source = self.store.read("source", name)
-        existing = None if load_type == SNAPSHOT else self.store.read("bronze", name)
-        rows = B.load(source, existing, name, batch_ts, load_type, self.source_system)
-        rows = rows.withColumn(BRONZE_PARTITION, F.to_date("ingestion_timestamp"))
-        if existing is None:
-            c = _write_counted(rows, lambda d: self.store.write_version("bronze", name, d, [BRONZE_PARTITION]))
-        else:
-            c = _write_counted(rows, lambda d: self.store.append("bronze", name, d, [BRONZE_PARTITION]))
+        c = append_new(self.store, source, name, batch_ts, load_type, self.source_system)
         self.control.advance_watermark(f"bronze_{name}", batch_ts, self.clock())
-        return c["inserted"]
+        return c
 
     def load_bronze(self, result: RunResult, load_type: str, batch_ts: dt.datetime) -> int:
         return self._each(result, "bronze_", FEEDS, lambda n: self.load_bronze_table(n, load_type, batch_ts))
@@ -145,24 +179,44 @@ class Pipeline:
     # ---- stage 2: silver --------------------------------------------------
     def load_silver_table(self, name: str, load_type: str, batch_ts: dt.datetime) -> int:
         spec = SILVER_SPECS[name]
-        target = None if load_type == SNAPSHOT else self.store.read("silver", spec.name)
+        fresh = load_type == SNAPSHOT or not self.store.exists("silver", spec.name)
         # A missing table means "no watermark" (a dropped table is fully reloaded).
-        wm = self._watermark(spec.watermark) if target is not None else None
+        wm = None if fresh else self._watermark(spec.watermark)
         bronze = self.store.read("bronze", name)
         if wm is not None:
             # Partition pruning on the ingestion date, then the exact timestamp test.
             bronze = bronze.where(F.col(BRONZE_PARTITION) >= F.lit(wm.date()))
-        bronze = bronze.drop(BRONZE_PARTITION)
-        changes = CLEANERS[name](bronze, wm)
-        cols = list(spec.columns)
-        if target is None:
-            out = insert_all(changes, cols, batch_ts)
-        else:
-            out = merge(target, changes, list(spec.keys), cols, list(spec.update_columns), batch_ts)
-        c = _write_counted(out, lambda d: self.store.write_version("silver", spec.name, d), action_col=True)
+        changes = CLEANERS[name](bronze.drop(BRONZE_PARTITION, BATCH), wm)
+        cols, keys = list(spec.columns), list(spec.keys)
+        c = self._upsert("silver", spec.name, keys[0], changes, batch_ts, fresh, insert_all(changes, cols, batch_ts),
+                         lambda t, ch: merge(t, ch, keys, cols, list(spec.update_columns), batch_ts))
         self.control.advance_watermark(spec.watermark, batch_ts, self.clock())
         return c["inserted"] + c["updated"]
 
+    def _upsert(self, layer: str, table: str, key: str, changes: DataFrame, batch_ts: dt.datetime, fresh: bool,
+                anew: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame]) -> dict[str, int]:
+        """Write a table anew, or merge ``changes`` into the buckets that their keys touch; the other buckets' files stay."""
+        if fresh:
+            out = anew
+        else:
+            # One number a bucket at most goes to the driver.
+            touched = sorted(r[0] for r in changes.select(bucket_of(key, self.key_buckets).alias(BUCKET)).distinct().collect())
+            if not touched:
+                return {"inserted": 0, "updated": 0}
+            out = merged(self.store.read(layer, table, touched).drop(BUCKET, GEN), changes)
+        out = out.withColumn(BUCKET, bucket_of(key, self.key_buckets))
+        return _write_counted(out, lambda d: self.store.write_buckets(layer, table, d, stamp(batch_ts), new_version=fresh),
+                              [BUCKET], action_col=True)
+
+    def _rows(self, layer: str, table: str, since: dt.datetime | None = None) -> DataFrame | None:
+        """An upsert table without the store's columns; ``since`` prunes buckets not rewritten after that time."""
+        df = self.store.read(layer, table)
+        if df is None:
+            return None
+        if since is not None:
+            df = df.where(F.col(GEN) > F.lit(stamp(since)))
+        return df.drop(BUCKET, GEN)
+
     def load_silver(self, result: RunResult, load_type: str, batch_ts: dt.datetime) -> int:
         return self._each(result, "silver_", FEEDS, lambda n: self.load_silver_table(n, load_type, batch_ts))
 
@@ -185,15 +239,13 @@ class Pipeline:
             upd, cmp_ = G.PRODUCT_UPDATES, G.PRODUCT_COMPARE
         wm_name = f"gold_{table}"
         # Dimensions are never truncated, not even by a snapshot run.
-        existing = self.store.read("gold", table)
-        wm = None if load_type == SNAPSHOT else self._watermark(wm_name)
-        changes = G.changed_since(self.store.read("silver", silver_name), wm)
-        if existing is None:
-            out = G.build_dim(changes, cols, idc, key, batch_ts)
-        else:
-            max_key = existing.agg(F.max(key)).first()[0] or 0
-            out = G.merge_dim(existing, changes, cols, idc, key, upd, cmp_, batch_ts, max_key)
-        c = _write_counted(out, lambda d: self.store.write_version("gold", table, d), action_col=True)
+        existing = self._rows("gold", table)
+        wm = None if load_type == SNAPSHOT or existing is None else self._watermark(wm_name)
+        changes = G.changed_since(self._rows("silver", silver_name, wm), wm)
+        max_key = 0 if existing is None else (existing.agg(F.max(key)).first()[0] or 0)
+        c = self._upsert("gold", table, idc, changes, batch_ts, existing is None,
+                         G.build_dim(changes, cols, idc, key, batch_ts),
+                         lambda t, ch: G.merge_dim(t, ch, cols, idc, key, upd, cmp_, batch_ts, max_key))
         self.control.advance_watermark(wm_name, batch_ts, self.clock())
         return c["inserted"] + c["updated"]
 
@@ -201,14 +253,12 @@ class Pipeline:
         wm_name = f"gold_{which}"
         existing = None if load_type == SNAPSHOT else self.store.read("gold", which)
         wm = None if existing is None else self._watermark(wm_name)
-        items = self.store.read("silver", "order_items_clean")
-        orders = self.store.read("silver", "orders_clean")
-        payments = self.store.read("silver", "payments_clean")
-        dim_c = self.store.read("gold", "dim_customers")
+        items, payments = self._rows("silver", "order_items_clean"), self._rows("silver", "payments_clean")
+        orders = self._rows("silver", "orders_clean", wm)
+        dim_c = self._rows("gold", "dim_customers")
         cal = self.calendar_table()
         if which == "fact_sales":
-            rows = G.fact_sales(items, orders, payments, dim_c, self.store.read("gold", "dim_products"), cal,
-                                wm, existing)
+            rows = G.fact_sales(items, orders, payments, dim_c, self._rows("gold", "dim_products"), cal, wm, existing)
         else:
             rows = G.fact_orders(orders, items, payments, dim_c, cal, wm, existing)
         if which == "fact_sales":
@@ -219,9 +269,9 @@ class Pipeline:
         start = 0 if existing is None else (existing.agg(F.max(key)).first()[0] or 0)
         rows = G.with_fact_keys(rows, key, ids, start, batch_ts)
         if existing is None:
-            c = _write_counted(rows, lambda d: self.store.write_version("gold", which, d, FACT_PARTITION))
+            c = _write_counted(rows, lambda d: self.store.write_version("gold", which, d, FACT_PARTITION), FACT_PARTITION)
         else:
-            c = _write_counted(rows, lambda d: self.store.append("gold", which, d, FACT_PARTITION))
+            c = _write_counted(rows, lambda d: self.store.append("gold", which, d, FACT_PARTITION), FACT_PARTITION)
         self.control.advance_watermark(wm_name, batch_ts, self.clock())
         return c["inserted"]
 
@@ -290,4 +340,4 @@ class Pipeline:
         df = self.store.read("gold", table)
         if df is None:
             raise LookupError(f"gold.{table} has not been loaded")
-        return df
+        return df.drop(BUCKET, GEN)

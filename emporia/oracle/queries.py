@@ -8,6 +8,8 @@ from emporia.oracle.duckdb_sql import (
     fact_two_loads_sql, silver_after_sql, silver_merge_sql, silver_sql, source_sql, with_base,
 )
 
+from emporia.oracle.stored import stored_sql
+
 FEEDS = ("customers", "orders", "order_items", "products", "payments")
 SILVER_NAMES = {"customers": "customers_clean", "orders": "orders_clean", "order_items": "order_items_clean",
                 "products": "products_clean", "payments": "payments_clean"}
@@ -184,12 +186,7 @@ JOIN ({_count_rows([("dim_customers", "s_customers"), ("dim_products", "s_produc
     q["ctl_rows_affected_all"] = _union([
         f"SELECT '{name}' AS table_name, {ins} AS rows_inserted, {upd} AS rows_updated, "
         f"{ins} + {upd} AS rows_out FROM ({src})" for name, src in merged])
-    parts = [f"SELECT count(*) AS n FROM ({bronze_sql(n)})" for n in FEEDS]
-    parts += [f"SELECT count(*) AS n FROM ({silver_sql(n)})" for n in FEEDS]
-    q["ctl_run_rows_total"] = with_base(
-        "SELECT CAST(sum(n) AS BIGINT) AS rows_processed FROM (" + _union(
-            parts + ["SELECT count(*) AS n FROM s_customers", "SELECT count(*) AS n FROM s_products",
-                     "SELECT count(*) AS n FROM f_sales", "SELECT count(*) AS n FROM f_orders"]) + ")")
+    q.update(stored_sql())
     # ---- dashboards ----
     q["dash_monthly_revenue"] = with_base(
         f"SELECT year_month, order_year, order_month, total_orders, total_revenue FROM ({SALES_SUMMARY})")

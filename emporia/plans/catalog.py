@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,9 @@ from emporia.operators.merge import ACTION
 from emporia.plans import dashboards as D
 from emporia.plans import reports as R
 from emporia.plans.world import TS1, TS2, World
-from emporia.schemas import FEEDS, LOAD_SNAPSHOT, PAYMENT_NOT_DEFINED, RUN_MAIN, SILVER_SPECS
+from emporia.schemas import (
+    FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, PAYMENT_NOT_DEFINED, RUN_BRONZE, RUN_GOLD, RUN_MAIN, RUN_SILVER, SILVER_SPECS,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -287,21 +290,7 @@ def delivery_quality(spark, sf):
     return R.delivery_quality(_w(spark, sf).order_heads)
 
 
-# ---- control (SQL-checkable parts) -----------------------------------------
-def ctl_reconcile_counts(spark, sf):
-    """Gold row counts against the counts implied by silver."""
-    w = _w(spark, sf)
-    actual = _counts({"dim_customers": w.dim_customers, "dim_products": w.dim_products,
-                      "dim_date": w.dim_date, "fact_sales": w.fact_sales, "fact_orders": w.fact_orders})
-    items_with_order = w.silver("order_items").join(w.silver("orders").select("order_id"), "order_id", "left_semi")
-    expected = _counts({"dim_customers": w.silver("customers"), "dim_products": w.silver("products"),
-                        "dim_date": w.dim_date, "fact_sales": items_with_order,
-                        "fact_orders": w.silver("orders")}).withColumnRenamed("row_count", "expected_rows")
-    return actual.join(expected, "table_name").select(
-        "table_name", F.col("row_count").alias("actual_rows"), "expected_rows",
-        (F.col("row_count") == F.col("expected_rows")).alias("matches"))
-
-
+# ---- control (SQL-checkable parts)-----------------------------------------
 def ctl_rows_affected(spark, sf):
     """Rows inserted / updated by the second load of each merged table."""
     w = _w(spark, sf)
@@ -337,18 +326,6 @@ def ctl_rows_affected_all(spark, sf):
     return out
 
 
-def ctl_run_rows_total(spark, sf):
-    """Rows processed by bronze + silver + gold in one snapshot run (source excluded)."""
-    w = _w(spark, sf)
-    frames = [w.bronze(n) for n in FEEDS] + [w.silver(n) for n in FEEDS] + [
-        w.dim_customers, w.dim_products, w.fact_sales, w.fact_orders]
-    total = None
-    for df in frames:
-        c = df.agg(F.count(F.lit(1)).cast("long").alias("n"))
-        total = c if total is None else total.unionByName(c)
-    return total.agg(F.sum("n").cast("long").alias("rows_processed"))
-
-
 # ---- dashboards ----------------------------------------------------------
 def dash_monthly_revenue(spark, sf):
     return D.monthly_revenue(sales_summary(spark, sf))
@@ -430,8 +407,8 @@ def registry() -> dict[str, Query]:
     for f in (dim_customers, dim_products, dim_date, fact_sales, fact_orders, surrogate_keys,
               gold_incremental_filter, first_payment_per_order, date_key_lookup, order_item_totals,
               order_payment_totals, gold_load_counts, sales_summary, product_performance,
-              customer_revenue, delivery_quality, ctl_reconcile_counts, ctl_rows_affected,
-              fact_sales_two_loads, fact_orders_two_loads, ctl_rows_affected_all, ctl_run_rows_total, dash_monthly_revenue, dash_payment_split, dash_top_products,
+              customer_revenue, delivery_quality, ctl_rows_affected,
+              fact_sales_two_loads, fact_orders_two_loads, ctl_rows_affected_all, dash_monthly_revenue, dash_payment_split, dash_top_products,
               dash_category_revenue, dash_free_shipping, dash_customer_ltv, dash_repeat_customers,
               dash_revenue_by_state, dash_late_rate, dash_dq_by_month, dash_cancellations):
         q[f.__name__] = f
@@ -439,82 +416,99 @@ def registry() -> dict[str, Query]:
     return q
 
 
-# ---- control tables of real pipeline runs (no SQL oracle: they hold clocks) ----
+# ---- real pipeline runs over the given tables ---------------------------------------------
+RUN_TIMES = (TS1, TS2, dt.datetime(2024, 1, 3))
 _RUNS: dict[str, object] = {}
 
 
 def pipeline_runs(spark: SparkSession, sf: str):
-    """Run the pipeline over the given tables once per process: a first load (batch 1),
-    an incremental load of the batch-2 extract and a snapshot reload; reuse afterwards."""
+    """Run the stored pipeline once per process: a first load (batch 1), an incremental load of the
+    batch-2 extract and a snapshot reload.  Its clock stands at the batch time and its ids count up, so
+    logs and tables depend on the given tables alone.  After each run the digests of the stored gold
+    tables are taken (one row a table)."""
     key = f"{sf}|{id(spark)}"
     if key not in _RUNS:
+        from emporia.operators.control import new_id
         from emporia.plans.pipeline import Pipeline
         from emporia.session import scratch_path
         from emporia.sources import derived_feed as feed
         from emporia.sources.csv_feed import read_feed, write_feed
-        from emporia.operators.control import new_id
 
         base = scratch_path(spark, "emporia-runs", new_id())
         for b in (1, 2):
             for n in FEEDS:
                 write_feed(feed.source_feed(spark, sf, n, b), f"{base}/feeds/b{b}/{n}", n)
-        state = {"batch": 1}
+        state, ids = {"batch": 1, "now": TS1}, count(1)
         p = Pipeline(spark, f"{base}/warehouse",
                      lambda n: read_feed(spark, f"{base}/feeds/b{state['batch']}/{n}", n),
-                     calendar=(dt.date(1995, 1, 1), dt.date(2001, 12, 31)))
-        results = [p.run("incremental", TS1)]
-        state["batch"] = 2
-        results.append(p.run("incremental", dt.datetime(2024, 1, 2)))
-        results.append(p.run(LOAD_SNAPSHOT, dt.datetime(2024, 1, 3)))
-        _RUNS[key] = (p, results)
+                     source_system=feed.FIXTURE_SOURCE_SYSTEM, clock=lambda: state["now"], ids=lambda: f"{next(ids):06d}")
+        results, digests = [], []
+        for run, (batch, load_type, now) in enumerate(zip((1, 2, 2), (LOAD_INCREMENTAL, LOAD_INCREMENTAL, LOAD_SNAPSHOT), RUN_TIMES), 1):
+            state |= {"batch": batch, "now": now}
+            results.append(p.run(load_type, now))
+            digests += [(run, *r) for r in p.gold_digests().collect()]
+        _RUNS[key] = (p, results, digests)
     return _RUNS[key]
 
 
 def run_pipeline(spark, sf):
-    """Per run: load type, batch time and rows processed (from the runs' log)."""
-    p, results = pipeline_runs(spark, sf)
+    """Per run: load type, state, rows processed and times (from the runs' log)."""
+    p, *_ = pipeline_runs(spark, sf)
     return p.control.run_log().where(F.col("pipeline_name") == RUN_MAIN).select(
         "run_id", "load_type", "status", "rows_processed", "start_time", "end_time", "duration_seconds")
 
 
 def ctl_run_log(spark, sf):
-    p, _ = pipeline_runs(spark, sf)
+    """Every step of every run with its last state."""
+    p, *_ = pipeline_runs(spark, sf)
     return p.control.run_log()
 
 
 def ctl_last_runs(spark, sf):
-    p, _ = pipeline_runs(spark, sf)
+    p, *_ = pipeline_runs(spark, sf)
     return p.control.last_runs(10)
 
 
-def ctl_watermark_read(spark, sf):
-    p, _ = pipeline_runs(spark, sf)
-    return p.control.watermarks()
+def ctl_rows_by_table(spark, sf):
+    """Rows that each load of each run wrote (inserted and updated), as counted by the writes themselves."""
+    _, results, _ = pipeline_runs(spark, sf)
+    rows = [(i, name, int(n)) for i, r in enumerate(results, 1) for name, n in r.rows.items()]
+    return spark.createDataFrame(rows, "run int, table_name string, rows_written long")
+
+
+def gold_store_digests(spark, sf):
+    """Content digests of the stored dimensions, facts and reports after each of the three runs."""
+    _, _, digests = pipeline_runs(spark, sf)
+    return spark.createDataFrame(digests, "run int, table_name string, row_count long, digest decimal(38,0), keys_ok boolean")
 
 
-def ctl_watermark_advance(spark, sf):
-    """Every advance event of every pipeline name (the watermark history)."""
-    p, _ = pipeline_runs(spark, sf)
-    return p.store.read("control", "pipeline_watermark")
+def ctl_run_rows_total(spark, sf):
+    """Rows processed by the bronze, silver and gold steps of each run, summed from its log (source excluded)."""
+    p, results, _ = pipeline_runs(spark, sf)
+    log = p.control.run_log().where(F.col("pipeline_name").isin(RUN_BRONZE, RUN_SILVER, RUN_GOLD))
+    return log.groupBy("run_id").agg(F.sum("rows_processed").cast("long").alias("rows_processed"))
 
 
-def ctl_watermark_lag(spark, sf):
-    p, _ = pipeline_runs(spark, sf)
-    return p.control.watermark_lag(dt.datetime(2024, 1, 3, 12, 30))
+def ctl_reconcile_counts(spark, sf):
+    """Stored gold row counts against the counts that the stored silver implies, after the last run."""
+    p, *_ = pipeline_runs(spark, sf)
+    silver = {n: p.silver(n) for n in FEEDS}
+    actual = _counts({t: p.gold(t) for t in ("dim_customers", "dim_products", "dim_date", "fact_sales", "fact_orders")})
+    items_with_order = silver["order_items"].join(silver["orders"].select("order_id"), "order_id", "left_semi")
+    days = G.dim_date(spark, *G.calendar_range_for(silver["orders"], "order_purchase_timestamp"))
+    expected = _counts({"dim_customers": silver["customers"], "dim_products": silver["products"], "dim_date": days,
+                        "fact_sales": items_with_order, "fact_orders": silver["orders"]}).withColumnRenamed("row_count", "expected_rows")
+    return actual.join(expected, "table_name").select(
+        "table_name", F.col("row_count").alias("actual_rows"), "expected_rows",
+        (F.col("row_count") == F.col("expected_rows")).alias("matches"))
 
 
 def gold_views_from_store(spark, sf):
-    """The four views over the gold tables the pipeline wrote (row counts per view)."""
-    p, _ = pipeline_runs(spark, sf)
-    fs, fo = p.gold("fact_sales"), p.gold("fact_orders")
-    frames = {
-        "sales_summary": R.sales_summary(fs, p.gold("dim_date"), fo),
-        "product_performance": R.product_performance(fs, p.gold("dim_products"), fo),
-        "customer_revenue": R.customer_revenue(fo, p.gold("dim_customers")),
-        "delivery_quality": R.delivery_quality(fo),
-    }
-    return _counts(frames, "view_name")
+    """The four reports over the gold tables that the pipeline wrote (row counts per report)."""
+    p, *_ = pipeline_runs(spark, sf)
+    return _counts(p.reports(), "view_name")
 
 
 def pipeline_registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (run_pipeline, ctl_run_log, ctl_last_runs, gold_views_from_store)}
+    return {f.__name__: f for f in (run_pipeline, ctl_run_log, ctl_last_runs, ctl_rows_by_table, ctl_run_rows_total,
+                                    ctl_reconcile_counts, gold_store_digests, gold_views_from_store)}

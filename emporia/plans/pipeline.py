@@ -27,9 +27,11 @@ from pyspark.sql import functions as F
 from emporia.operators import bronze as B
 from emporia.operators import gold as G
 from emporia.operators.control import Control, new_id
+from emporia.operators.digest import digest, key_is_dense
 from emporia.operators.key_index import KeyIndex
 from emporia.operators.merge import ACTION, insert_all, merge
 from emporia.operators.silver import CLEANERS
+from emporia.plans import reports as R
 from emporia.schemas import (
     BRONZE_KEYS, DEFAULT_SOURCE_SYSTEM, FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, RUN_BRONZE, RUN_GOLD, RUN_MAIN, RUN_SILVER,
     RUN_SOURCE, SILVER_SPECS,
@@ -109,13 +111,19 @@ def append_new(store: TableStore, source: DataFrame, name: str, batch_ts: dt.dat
 
 class Pipeline:
     def __init__(self, spark: SparkSession, root: str, feed_reader: Callable[[str], DataFrame],
-                 calendar: tuple[dt.date, dt.date] = G.DEFAULT_CALENDAR,
+                 calendar: tuple[dt.date, dt.date] | None = None,
                  source_system: str = DEFAULT_SOURCE_SYSTEM,
                  clock: Callable[[], dt.datetime] = _now, parallel_tables: int = 5,
-                 keep_versions: int = 2, key_buckets: int = KEY_BUCKETS) -> None:
+                 keep_versions: int = 2, key_buckets: int = KEY_BUCKETS, ids: Callable[[], str] = new_id) -> None:
+        """``calendar``: fixed first and last day; without it the calendar covers the whole years of the order dates.
+
+        ``clock`` gives every time in logs, watermarks and batches, ``ids`` the run and step names; with both
+        given, what a run writes depends on its input alone.
+        """
         self.spark = spark
         self.store = TableStore(spark, root)
-        self.control = Control(spark, self.store)
+        self.control = Control(spark, self.store, clock)
+        self.ids = ids
         self.feed_reader = feed_reader
         self.calendar = calendar
         self.source_system = source_system
@@ -133,7 +141,7 @@ class Pipeline:
 
     # ---- logging helper ---------------------------------------------------
     def _step(self, run_id: str, name: str, layer: str, load_type: str, fn: Callable[[], int]) -> int:
-        log_id, start = new_id(), self.clock()
+        log_id, start = self.ids(), self.clock()
         self.control.log_event(run_id, log_id, name, layer, load_type, "RUNNING", start)
         try:
             # Each layer advances only its own watermarks, so a snapshot taken here stays valid.
@@ -222,11 +230,20 @@ class Pipeline:
 
     # ---- stage 3: gold ----------------------------------------------------
     def calendar_table(self) -> DataFrame:
-        cal = self.store.read("gold", "dim_date")
-        if cal is None:
-            self.store.write_version("gold", "dim_date", G.dim_date(self.spark, *self.calendar).coalesce(1))
-            cal = self.store.read("gold", "dim_date")
-        return cal
+        """The stored calendar; made, or made longer, when silver has order dates beyond it."""
+        have = self.store.read("gold", "dim_date")
+        if have is not None and self.calendar is not None:
+            return have
+        span = self.calendar
+        if span is None:
+            span = G.calendar_range_for(self._rows("silver", "orders_clean"), "order_purchase_timestamp")
+            if have is not None:
+                lo, hi = have.agg(F.min("full_date"), F.max("full_date")).first()
+                if lo <= span[0] and span[1] <= hi:
+                    return have
+                span = (min(lo, span[0]), max(hi, span[1]))
+        self.store.write_version("gold", "dim_date", G.dim_date(self.spark, *span).coalesce(1))
+        return self.store.read("gold", "dim_date")
 
     def _load_dim(self, which: str, load_type: str, batch_ts: dt.datetime) -> int:
         if which == "customers":
@@ -256,7 +273,7 @@ class Pipeline:
         items, payments = self._rows("silver", "order_items_clean"), self._rows("silver", "payments_clean")
         orders = self._rows("silver", "orders_clean", wm)
         dim_c = self._rows("gold", "dim_customers")
-        cal = self.calendar_table()
+        cal = self.store.read("gold", "dim_date")
         if which == "fact_sales":
             rows = G.fact_sales(items, orders, payments, dim_c, self._rows("gold", "dim_products"), cal, wm, existing)
         else:
@@ -287,10 +304,10 @@ class Pipeline:
     def run(self, load_type: str = LOAD_INCREMENTAL, batch_ts: dt.datetime | None = None) -> RunResult:
         """Source (always snapshot) -> bronze -> silver -> gold, logged; re-raises on failure."""
         t0 = time.time()
-        run_id = new_id()
+        run_id = self.ids()
         batch_ts = self._batch_time(batch_ts)
         result = RunResult(run_id, load_type, batch_ts)
-        log_id, start = new_id(), self.clock()
+        log_id, start = self.ids(), self.clock()
         self.control.log_event(run_id, log_id, RUN_MAIN, "all", load_type, "RUNNING", start)
         self.control.flush()
         try:
@@ -335,9 +352,54 @@ class Pipeline:
         for layer, table in tables:
             self.store.drop_old_versions(layer, table, keep=self.keep_versions)
 
-    # ---- report views over the stored gold tables ---------------------------
+    # ---- stored tables and the report views over them ---------------------------
     def gold(self, table: str) -> DataFrame:
         df = self.store.read("gold", table)
         if df is None:
             raise LookupError(f"gold.{table} has not been loaded")
         return df.drop(BUCKET, GEN)
+
+    def silver(self, feed: str) -> DataFrame:
+        df = self._rows("silver", SILVER_SPECS[feed].name)
+        if df is None:
+            raise LookupError(f"silver of {feed} has not been loaded")
+        return df
+
+    def reports(self) -> dict[str, DataFrame]:
+        fs, fo = self.gold("fact_sales"), self.gold("fact_orders")
+        return {
+            "sales_summary": R.sales_summary(fs, self.gold("dim_date"), fo),
+            "product_performance": R.product_performance(fs, self.gold("dim_products"), fo),
+            "customer_revenue": R.customer_revenue(fo, self.gold("dim_customers")),
+            "delivery_quality": R.delivery_quality(fo),
+        }
+
+    # ---- OP-C07 / G12 -------------------------------------------------------
+    def gold_digests(self) -> DataFrame:
+        """table_name, row_count, digest, keys_ok of every stored gold table and report.
+
+        Surrogate keys count by what they stand for: a fact's digest holds the business ids that its keys
+        lead to, and ``keys_ok`` says that a table's own key is dense (true for tables without one).
+        """
+        dc, dp = self.gold("dim_customers"), self.gold("dim_products")
+        by_c = dc.select("customer_key", F.col("customer_id").alias("dim_customer_id"))
+        by_p = dp.select("product_key", F.col("product_id").alias("dim_product_id"))
+        audit = ["created_at", "updated_at"]
+        fs = self.gold("fact_sales").join(by_c, "customer_key", "left").join(by_p, "product_key", "left")
+        fo = self.gold("fact_orders").join(by_c, "customer_key", "left")
+        looked_up = ("customer_key", "product_key")
+        tables = {
+            "dim_customers": (dc, [*G.DIM_CUSTOMER_COLUMNS, *audit], "customer_key"),
+            "dim_products": (dp, [*G.DIM_PRODUCT_COLUMNS, *audit], "product_key"),
+            "dim_date": (self.gold("dim_date"), None, None),
+            "fact_sales": (fs, [*[c for c in G.FACT_SALES_COLUMNS if c not in looked_up], "dim_customer_id", "dim_product_id", "created_at"], "sales_key"),
+            "fact_orders": (fo, [*[c for c in G.FACT_ORDERS_COLUMNS if c not in looked_up], "dim_customer_id", "created_at"], "order_key"),
+            **{name: (df, None, None) for name, df in self.reports().items()},
+        }
+        out = None
+        for name, (df, columns, key) in tables.items():
+            row = digest(df, columns or df.columns)
+            row = row.crossJoin(key_is_dense(df, key)) if key else row.withColumn("keys_ok", F.lit(True))  # one row by one row
+            row = row.select(F.lit(name).alias("table_name"), "*")
+            out = row if out is None else out.unionByName(row)
+        return out

@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.functions.text import parse_dmy
 from emporia.operators import bronze as B
 from emporia.operators import gold as G
 from emporia.operators.merge import ACTION, insert_all, merge
@@ -23,14 +24,12 @@ from emporia.operators.silver import CLEANERS
 from emporia.schemas import FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, SILVER_SPECS
 from emporia.sources import derived_feed as feed
 
-# The given orders span 1995-01-01 .. 2001-08-01, outside the default 2016-2020 calendar.
-DATA_CALENDAR = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 TS1 = dt.datetime(2024, 1, 1)
 TS2 = dt.datetime(2024, 1, 2)
 
 
 class World:
-    def __init__(self, spark: SparkSession, sf_dir: str, calendar: tuple[dt.date, dt.date] = DATA_CALENDAR,
+    def __init__(self, spark: SparkSession, sf_dir: str, calendar: tuple[dt.date, dt.date] | None = None,
                  batch_ts: dt.datetime = TS1) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
@@ -68,7 +67,12 @@ class World:
     # ---- gold -------------------------------------------------------------
     @cached_property
     def dim_date(self) -> DataFrame:
-        return G.dim_date(self.spark, *self.calendar_range)
+        """Calendar of the given range, or of the whole years of the feed's order dates (one column's range to the driver)."""
+        span = self.calendar_range
+        if span is None:
+            dates = self.source("orders").select(parse_dmy("order_purchase_timestamp").alias("t"))
+            span = G.calendar_range_for(dates, "t")
+        return G.dim_date(self.spark, *span)
 
     @cached_property
     def dim_customers(self) -> DataFrame:
@@ -127,4 +131,4 @@ class World:
                              self.dim_customers, self.dim_date)
 
 
-__all__ = ["World", "FEEDS", "DATA_CALENDAR", "TS1", "TS2"]
+__all__ = ["World", "FEEDS", "TS1", "TS2"]

@@ -11,7 +11,7 @@ from emporia.plans.world import World
 from emporia.sources import derived_feed as feed
 from emporia.sources.csv_feed import read_feed, write_feed
 
-CAL = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+CAL = None  # from the order dates
 
 
 @pytest.fixture(scope="module")

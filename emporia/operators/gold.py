@@ -187,12 +187,13 @@ FACT_SALES_COLUMNS = [
 
 def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_customers: DataFrame | None,
                dim_products: DataFrame | None, calendar: DataFrame, watermark: dt.datetime | None = None,
-               existing: DataFrame | None = None) -> DataFrame:
+               existing: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Line-grain fact: items of known orders with first payment and dimension keys.
 
     Incremental: only orders changed since the watermark, and only lines not
     already in the fact (insert-only; a snapshot run repairs later changes).
-    A dimension given as None is not looked up, and the fact has no key of it.
+    A dimension given as None is not looked up, and the fact has no key of it; ``carry`` names business ids
+    (product_id, customer_id) that the rows keep for a report that joins on them instead.
     """
     o = changed_since(orders, watermark).select(
         "order_id", "customer_id", "order_status", "is_late_delivery", "order_purchase_timestamp")
@@ -213,7 +214,7 @@ def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame, dim_cus
         df = df.join(existing.select("order_id", "order_item_id"), ["order_id", "order_item_id"], "left_anti")
     ts = "order_purchase_timestamp"
     return df.select(
-        "order_id", "order_item_id", *_looked_up(df), "date_key",
+        "order_id", "order_item_id", *carry, *_looked_up(df), "date_key",
         "price", "freight_value", "total_item_value",
         F.coalesce("payment_value", F.lit(0).cast("decimal(10,2)")).alias("payment_value"),
         F.coalesce("payment_type", F.lit(PAYMENT_UNKNOWN)).alias("payment_type"),
@@ -235,10 +236,10 @@ FACT_ORDERS_COLUMNS = [
 
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, dim_customers: DataFrame | None,
                 calendar: DataFrame, watermark: dt.datetime | None = None,
-                existing: DataFrame | None = None) -> DataFrame:
+                existing: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Order-grain fact: order attributes + item and payment totals (pre-aggregated, no fan-out).
 
-    ``dim_customers`` given as None is not looked up, and the fact has no key of it.
+    ``dim_customers`` given as None is not looked up, and the fact has no key of it; ``carry`` as in ``fact_sales``.
     """
     o = changed_since(orders, watermark)
     it, pay = items, payments
@@ -253,7 +254,7 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, dim_cu
     if existing is not None:
         df = df.join(existing.select("order_id"), "order_id", "left_anti")
     return df.select(
-        "order_id", *_looked_up(df), "date_key", "order_status",
+        "order_id", *carry, *_looked_up(df), "date_key", "order_status",
         F.coalesce("total_order_value", F.lit(0)).cast("decimal(10,2)").alias("total_order_value"),
         F.coalesce("total_payment_value", F.lit(0)).cast("decimal(10,2)").alias("total_payment_value"),
         F.coalesce("item_count", F.lit(0)).cast("int").alias("item_count"),

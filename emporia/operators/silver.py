@@ -29,6 +29,11 @@ def incremental_filter(bronze: DataFrame, watermark: dt.datetime | None) -> Data
     return bronze.where(F.col("ingestion_timestamp") > F.lit(watermark).cast("timestamp_ntz"))
 
 
+def since_date(bronze: DataFrame, watermark: dt.datetime | None, partition: str = "ingestion_date") -> DataFrame:
+    """Stored bronze from the watermark's date on: whole partitions before it are not read (the exact test is above)."""
+    return bronze if watermark is None else bronze.where(F.col(partition) >= F.lit(watermark.date()))
+
+
 def dedup_latest(df: DataFrame, keys: list[str], raw_columns: tuple[str, ...]) -> DataFrame:
     """Newest row per key; ties (one load stamps one time) broken by the raw text, ascending.
 

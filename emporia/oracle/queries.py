@@ -9,6 +9,7 @@ from emporia.oracle.duckdb_sql import (
 )
 
 from emporia.oracle.stored import stored_sql
+from emporia.schemas import SOURCE_COLUMNS, SOURCE_KINDS
 
 FEEDS = ("customers", "orders", "order_items", "products", "payments")
 SILVER_NAMES = {"customers": "customers_clean", "orders": "orders_clean", "order_items": "order_items_clean",
@@ -118,6 +119,20 @@ def oracle_sql() -> dict[str, str]:
         f"FROM ({bronze_two_loads_sql(n)}) GROUP BY ingestion_timestamp" for n in FEEDS])
     for n in FEEDS:
         q[f"silver_{n}"] = silver_sql(n)
+    kinds = {"int": _int, "decimal": _dec, "time": _ts}
+    q["dq_profile_columns"] = _union([
+        f"SELECT '{n}' AS feed, '{c}' AS column_name, {_cnt('true')} AS rows, {_cnt(f'{c} IS NULL')} AS nulls, "
+        f"""{_cnt(f"trim({c}) = ''")} AS blanks, """
+        + (f"{_cnt(f'{_nz(c)} IS NOT NULL AND {kinds[SOURCE_KINDS[n][c]](c)} IS NULL')}" if c in SOURCE_KINDS[n] else "CAST(0 AS BIGINT)")
+        + f" AS unparsable FROM ({source_sql(n)})" for n in FEEDS for c in SOURCE_COLUMNS[n]])
+    # As staged: an empty field reads as NULL, and the cities hold a comma and quotes.
+    empty = lambda n: ", ".join(f"nullif({c}, '') AS {c}" for c in SOURCE_COLUMNS[n])
+    for n in FEEDS:
+        q[f"csv_{n}"] = f"SELECT {empty(n)} FROM ({source_sql(n)})"
+    q["csv_customers"] = q["csv_customers"].replace(
+        "nullif(customer_city, '')", "customer_city || ', \"' || customer_state || '\"'")
+    q["csv_rejects"] = _union([f"SELECT '{n}' AS feed, '{why}' AS reason, count(*) AS rows FROM ({source_sql(n)}) "
+                               f"WHERE ends_with(trim({SOURCE_COLUMNS[n][0]}), '77') HAVING count(*) > 0" for n in FEEDS for why in ("short", "long")])
     q["silver_upsert"] = silver_merge_sql("customers")
     for n in FEEDS:
         if n != "customers":

@@ -8,7 +8,8 @@ truncated).  All rows of a load carry the batch time, so ties are broken by the
 from __future__ import annotations
 
 from emporia.oracle.duckdb_sql import (
-    CUSTOMER_REVENUE, DELIVERY_QUALITY, FACT_ORDERS_COLS, FACT_SALES_COLS, PRODUCT_PERFORMANCE, SALES_SUMMARY, SILVER_COLS, SOURCE_COLS, TS1,
+    CUSTOMER_REVENUE, DELIVERY_QUALITY, FACT_ORDERS_COLS, FACT_SALES_COLS, ITEM_COLS, PAYMENT_COLS, PRODUCT_PERFORMANCE, SALES_SUMMARY,
+    SILVER_COLS, SOURCE_COLS, TS1,
     TS2, base_ctes, bronze_two_loads_sql, dim_merge_sql, fact_two_loads_sql, silver_after_sql, silver_sql, source_sql,
 )
 
@@ -156,6 +157,15 @@ def stored_sql() -> dict[str, str]:
                            ("customer_revenue", CUSTOMER_REVENUE), ("delivery_quality", DELIVERY_QUALITY)):
             parts.append(_digest(run, name, _report(text, run), _REPORT_COLUMNS[name]))
     q["gold_store_digests"] = _union(parts)
+    names = {"customers": "customers_clean", "orders": "orders_clean", "order_items": "order_items_clean", "products": "products_clean",
+             "payments": "payments_clean"}
+    columns = {**SILVER_COLS, "order_items": ITEM_COLS, "payments": PAYMENT_COLS}
+    whole = lambda n, run: (f"SELECT * EXCLUDE (merge_action) FROM ({_merged(n)})" if run == 2 else
+                            f"SELECT *, {TIMES[run]} AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at FROM ({_cleaned(n, run)})")
+    q["silver_store_digests"] = _union([
+        f"SELECT * EXCLUDE (keys_ok) FROM ({_digest(run, names[n], whole(n, run), [*columns[n], *_AUDIT])})" for run in TIMES for n in FEEDS])
+    for n in FEEDS:
+        q[f"silver_increment_{n}"] = _cleaned(n, 2)
     q["gold_views_from_store"] = _union([
         f"SELECT '{name}' AS view_name, CAST(count(*) AS BIGINT) AS row_count FROM ({_report(text, 3)})"
         for name, text in (("sales_summary", SALES_SUMMARY), ("product_performance", PRODUCT_PERFORMANCE),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,16 @@ from emporia.functions import flags as Q
 from emporia.functions.text import clean_text, to_dec
 from emporia.operators import gold as G
 from emporia.operators.merge import ACTION
+from emporia.operators.profile import profile
+from emporia.operators.silver import CLEANERS, since_date
 from emporia.plans import dashboards as D
 from emporia.plans import reports as R
 from emporia.plans.world import TS1, TS2, World
 from emporia.schemas import (
     FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, PAYMENT_NOT_DEFINED, RUN_BRONZE, RUN_GOLD, RUN_MAIN, RUN_SILVER, SILVER_SPECS,
+    SOURCE_COLUMNS, SOURCE_KINDS,
 )
+from emporia.sources.csv_feed import read_feed_checked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,8 +54,39 @@ def _src(name: str) -> Query:
     return lambda spark, sf: _w(spark, sf).source(name)
 
 
+_LOADS: dict[str, object] = {}
+
+
+def _two_loads(spark: SparkSession, sf: str, name: str):
+    """A feed's stored bronze after a first load and an incremental load of the second extract, through
+    the append sink and its key index (once per process and feed)."""
+    from emporia.operators.control import new_id
+    from emporia.plans.pipeline import append_new
+    from emporia.session import scratch_path
+    from emporia.sources import derived_feed as feed
+    from emporia.sources.store import TableStore
+
+    key = f"{sf}|{id(spark)}|{name}"
+    if key not in _LOADS:
+        store = TableStore(spark, scratch_path(spark, "emporia-bronze", new_id()))
+        for batch, ts, load_type in ((1, TS1, LOAD_SNAPSHOT), (2, TS2, LOAD_INCREMENTAL)):
+            append_new(store, feed.source_feed(spark, sf, name, batch), name, ts, load_type, feed.FIXTURE_SOURCE_SYSTEM)
+        _LOADS[key] = store
+    return _LOADS[key].read("bronze", name)
+
+
 def _bronze(name: str) -> Query:
-    return lambda spark, sf: _w(spark, sf).bronze_two_loads(name)
+    def q(spark, sf):
+        return _two_loads(spark, sf, name).drop("ingestion_date", "load_batch")
+    return q
+
+
+def _silver_increment(name: str) -> Query:
+    """Cleaned rows that the second load brought: silver's incremental read of bronze (partitions by date, then time)."""
+    def q(spark, sf):
+        rows = _two_loads(spark, sf, name)
+        return CLEANERS[name](since_date(rows, TS1).drop("ingestion_date", "load_batch"), TS1)
+    return q
 
 
 def _silver(name: str) -> Query:
@@ -181,6 +217,56 @@ def dq_profile(spark, sf):
     return out.select("feed", "metric", F.col("value").cast("long").alias("value"))
 
 
+def dq_profile_columns(spark, sf):
+    """Every column of every feed: rows, NULLs, blanks and unparsable values (the distinct estimate is left out: SQL counts exactly)."""
+    w = _w(spark, sf)
+    parts = [profile(w.source(n), SOURCE_COLUMNS[n], SOURCE_KINDS[n]).drop("distinct_estimate").select(F.lit(n).alias("feed"), "*") for n in FEEDS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# ---- delimited files -------------------------------------------------------
+_STAGED: dict[str, str] = {}
+
+
+def _staged_csv(spark: SparkSession, sf: str) -> str:
+    """The feeds as delimited files with cities that hold commas and quotes, and a short and a long line for
+    every row whose first id ends in 77 (once per process)."""
+    from emporia.operators.control import new_id
+    from emporia.session import scratch_path
+    from emporia.sources import derived_feed as feed
+    from emporia.sources.csv_feed import write_feed
+
+    key = f"{sf}|{id(spark)}"
+    if key not in _STAGED:
+        base = scratch_path(spark, "emporia-csv", new_id())
+        for n in FEEDS:
+            rows = feed.source_feed(spark, sf, n)
+            if n == "customers":
+                rows = rows.withColumn("customer_city", F.concat("customer_city", F.lit(', "'), "customer_state", F.lit('"')))
+            write_feed(rows, f"{base}/{n}", n)
+            columns = SOURCE_COLUMNS[n]
+            first = F.trim(columns[0])
+            lines = rows.where(F.endswith(first, F.lit("77"))).select(F.explode(F.array(
+                first, F.concat_ws(",", F.array_repeat(first, len(columns) + 1)))).alias("value"))
+            header = spark.createDataFrame([(",".join(columns),)], "value string")
+            header.unionByName(lines).coalesce(1).write.mode("append").text(f"{base}/{n}")
+        _STAGED[key] = base
+    return _STAGED[key]
+
+
+def _csv(name: str) -> Query:
+    def q(spark, sf):
+        return read_feed_checked(spark, f"{_staged_csv(spark, sf)}/{name}", name)[0]
+    return q
+
+
+def csv_rejects(spark, sf):
+    """Rejected lines per feed and reason."""
+    base = _staged_csv(spark, sf)
+    parts = [read_feed_checked(spark, f"{base}/{n}", n)[1] for n in FEEDS]
+    return reduce(DataFrame.unionByName, parts).groupBy("feed", "reason").agg(F.count("line").cast("long").alias("rows"))
+
+
 # ---- gold ----------------------------------------------------------------
 def _no_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.drop(*keys)
@@ -283,7 +369,8 @@ def product_performance(spark, sf):
 
 def customer_revenue(spark, sf):
     w = _w(spark, sf)
-    return R.customer_revenue(w.fact_orders, w.dim_customers)
+    # Added up by customer_id: no key is looked up per order, and the dimension needs no numbering.
+    return R.customer_revenue(w.order_heads, w.silver("customers"), "customer_id")
 
 
 def delivery_quality(spark, sf):
@@ -336,7 +423,8 @@ def dash_payment_split(spark, sf):
 
 
 def dash_top_products(spark, sf):
-    return D.top_products(product_performance(spark, sf))
+    w = _w(spark, sf)
+    return D.top_products(w.sales_lines(carry=("product_id",)), w.silver("products"), key="product_id")
 
 
 def dash_category_revenue(spark, sf):
@@ -377,12 +465,14 @@ def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for n in FEEDS:
         q[f"src_{n}"] = _src(n)
+        q[f"csv_{n}"] = _csv(n)
     q["src_load_counts"] = src_load_counts
     for n in FEEDS:
         q[f"bronze_{n}"] = _bronze(n)
     q["bronze_load_counts"] = bronze_load_counts
     for n in FEEDS:
         q[f"silver_{n}"] = _silver(n)
+        q[f"silver_increment_{n}"] = _silver_increment(n)
     q["silver_upsert"] = silver_upsert
     for n in FEEDS:
         if n != "customers":
@@ -404,6 +494,8 @@ def registry() -> dict[str, Query]:
     q["dq_payment_not_defined"] = _payments_flag(lambda: Q.payment_not_defined("payment_type"))
     q["dq_payment_zero_value"] = _payments_flag(lambda: Q.payment_zero_value("payment_value"))
     q["dq_profile"] = dq_profile
+    q["dq_profile_columns"] = dq_profile_columns
+    q["csv_rejects"] = csv_rejects
     for f in (dim_customers, dim_products, dim_date, fact_sales, fact_orders, surrogate_keys,
               gold_incremental_filter, first_payment_per_order, date_key_lookup, order_item_totals,
               order_payment_totals, gold_load_counts, sales_summary, product_performance,
@@ -419,6 +511,7 @@ def registry() -> dict[str, Query]:
 # ---- real pipeline runs over the given tables ---------------------------------------------
 RUN_TIMES = (TS1, TS2, dt.datetime(2024, 1, 3))
 _RUNS: dict[str, object] = {}
+_SILVER: dict[str, list] = {}
 
 
 def pipeline_runs(spark: SparkSession, sf: str):
@@ -442,11 +535,12 @@ def pipeline_runs(spark: SparkSession, sf: str):
         p = Pipeline(spark, f"{base}/warehouse",
                      lambda n: read_feed(spark, f"{base}/feeds/b{state['batch']}/{n}", n),
                      source_system=feed.FIXTURE_SOURCE_SYSTEM, clock=lambda: state["now"], ids=lambda: f"{next(ids):06d}")
-        results, digests = [], []
+        results, digests, silver = [], [], _SILVER.setdefault(key, [])
         for run, (batch, load_type, now) in enumerate(zip((1, 2, 2), (LOAD_INCREMENTAL, LOAD_INCREMENTAL, LOAD_SNAPSHOT), RUN_TIMES), 1):
             state |= {"batch": batch, "now": now}
             results.append(p.run(load_type, now))
             digests += [(run, *r) for r in p.gold_digests().collect()]
+            silver += [(run, *r) for r in p.silver_digests().collect()]
         _RUNS[key] = (p, results, digests)
     return _RUNS[key]
 
@@ -482,6 +576,12 @@ def gold_store_digests(spark, sf):
     return spark.createDataFrame(digests, "run int, table_name string, row_count long, digest decimal(38,0), keys_ok boolean")
 
 
+def silver_store_digests(spark, sf):
+    """Content digests of the stored silver tables after each of the three runs."""
+    pipeline_runs(spark, sf)
+    return spark.createDataFrame(_SILVER[f"{sf}|{id(spark)}"], "run int, table_name string, row_count long, digest decimal(38,0)")
+
+
 def ctl_run_rows_total(spark, sf):
     """Rows processed by the bronze, silver and gold steps of each run, summed from its log (source excluded)."""
     p, results, _ = pipeline_runs(spark, sf)
@@ -511,4 +611,4 @@ def gold_views_from_store(spark, sf):
 
 def pipeline_registry() -> dict[str, Query]:
     return {f.__name__: f for f in (run_pipeline, ctl_run_log, ctl_last_runs, ctl_rows_by_table, ctl_run_rows_total,
-                                    ctl_reconcile_counts, gold_store_digests, gold_views_from_store)}
+                                    ctl_reconcile_counts, silver_store_digests, gold_store_digests, gold_views_from_store)}

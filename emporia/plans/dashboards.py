@@ -32,10 +32,25 @@ def payment_split(fact_sales: DataFrame) -> DataFrame:
     return by_type.withColumn("value_share_pct", rate_pct(cents, total))
 
 
-def top_products(product_performance: DataFrame, n: int = TOP_N) -> DataFrame:
-    """Top-N by revenue rank (ties at the cut are all kept)."""
-    return product_performance.where(F.col("revenue_rank") <= n).select(
-        "revenue_rank", "product_id", "product_category_name", "total_revenue", "units_sold")
+def top_products(fact_sales: DataFrame, dim_products: DataFrame, n: int = TOP_N, key: str = "product_key") -> DataFrame:
+    """The ``n`` products of most revenue with their rank; all ties at the cut are kept.
+
+    Spark's top-n (each task keeps ``n`` rows) finds the ``n`` largest totals; these few numbers are
+    the ranks, and one filter keeps every product that reaches the last of them.
+    """
+    per_product = fact_sales.where(F.col(key).isNotNull()).groupBy(key).agg(
+        sum_money("total_item_value").alias("total_revenue"), F.count(F.lit(1)).cast("long").alias("units_sold"))
+    known = per_product.join(dim_products.select(key), key, "left_semi")
+    best = [r[0] for r in known.orderBy(F.col("total_revenue").desc_nulls_last()).limit(n).select("total_revenue").collect()]
+    kept = [v for v in best if v is not None]
+    full = len(best) == n
+    reaches = F.col("total_revenue") >= F.lit(kept[-1]) if kept and full and len(kept) == n else F.lit(True)
+    rank = F.lit(len(kept) + 1)  # products without a revenue come last
+    for value in sorted(set(kept)):
+        rank = F.when(F.col("total_revenue") == F.lit(value), F.lit(kept.index(value) + 1)).otherwise(rank)
+    named = dim_products.select(*dict.fromkeys([key, "product_id", "product_category_name"]))
+    return per_product.where(reaches).join(named, key).select(
+        rank.cast("long").alias("revenue_rank"), "product_id", "product_category_name", "total_revenue", "units_sold")
 
 
 def category_revenue(fact_sales: DataFrame, dim_products: DataFrame) -> DataFrame:

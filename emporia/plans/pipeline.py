@@ -20,6 +20,7 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from emporia.operators.control import Control, new_id
 from emporia.operators.digest import digest, key_is_dense
 from emporia.operators.key_index import KeyIndex
 from emporia.operators.merge import ACTION, insert_all, merge
-from emporia.operators.silver import CLEANERS
+from emporia.operators.silver import CLEANERS, since_date
 from emporia.plans import reports as R
 from emporia.schemas import (
     BRONZE_KEYS, DEFAULT_SOURCE_SYSTEM, FEEDS, LOAD_INCREMENTAL, LOAD_SNAPSHOT, RUN_BRONZE, RUN_GOLD, RUN_MAIN, RUN_SILVER,
@@ -190,10 +191,8 @@ class Pipeline:
         fresh = load_type == SNAPSHOT or not self.store.exists("silver", spec.name)
         # A missing table means "no watermark" (a dropped table is fully reloaded).
         wm = None if fresh else self._watermark(spec.watermark)
-        bronze = self.store.read("bronze", name)
-        if wm is not None:
-            # Partition pruning on the ingestion date, then the exact timestamp test.
-            bronze = bronze.where(F.col(BRONZE_PARTITION) >= F.lit(wm.date()))
+        # Partition pruning on the ingestion date, then (in the cleaner) the exact timestamp test.
+        bronze = since_date(self.store.read("bronze", name), wm)
         changes = CLEANERS[name](bronze.drop(BRONZE_PARTITION, BATCH), wm)
         cols, keys = list(spec.columns), list(spec.keys)
         c = self._upsert("silver", spec.name, keys[0], changes, batch_ts, fresh, insert_all(changes, cols, batch_ts),
@@ -330,6 +329,68 @@ class Pipeline:
         result.seconds = time.time() - t0
         return result
 
+    # ---- one layer, one module ----------------------------------------------
+    def modules(self, layer: str) -> dict[str, Callable[[str, dt.datetime], int]]:
+        """The loaders of a layer's tables, in order: (load type, batch time) -> rows written."""
+        if layer == "source":
+            return {n: (lambda _, __, n=n: self.load_source_table(n)) for n in FEEDS}
+        if layer == "bronze":
+            return {n: (lambda kind, ts, n=n: self.load_bronze_table(n, kind, ts)) for n in FEEDS}
+        if layer == "silver":
+            return {n: (lambda kind, ts, n=n: self.load_silver_table(n, kind, ts)) for n in FEEDS}
+        if layer == "gold":
+            dims = {f"dim_{n}": (lambda kind, ts, n=n: self._load_dim(n, kind, ts)) for n in ("customers", "products")}
+
+            def fact(name: str, kind: str, ts: dt.datetime) -> int:
+                self.calendar_table()
+                return self._load_fact(name, kind, ts)
+
+            return dims | {n: (lambda kind, ts, n=n: fact(n, kind, ts)) for n in ("fact_sales", "fact_orders")}
+        raise ValueError(f"no layer {layer!r}")
+
+    def run_module(self, layer: str, name: str, load_type: str = LOAD_INCREMENTAL, batch_ts: dt.datetime | None = None) -> int:
+        """Load one table: logged as a run of one step, its watermark published with it; returns the rows written."""
+        load = self.modules(layer)
+        if name not in load:
+            raise ValueError(f"no module {layer}.{name}")
+        kind = SNAPSHOT if layer == "source" else load_type
+        ts = self._batch_time(batch_ts)
+        return self._step(self.ids(), f"{layer}.load_{name}", layer, kind, lambda: load[name](kind, ts))
+
+    def run_layer(self, layer: str, load_type: str = LOAD_INCREMENTAL, batch_ts: dt.datetime | None = None) -> RunResult:
+        """Load all tables of one layer as one logged step."""
+        kind = SNAPSHOT if layer == "source" else load_type
+        result = RunResult(self.ids(), kind, self._batch_time(batch_ts))
+        loads = {
+            "source": lambda: self.load_source(result), "bronze": lambda: self.load_bronze(result, kind, result.batch_ts),
+            "silver": lambda: self.load_silver(result, kind, result.batch_ts), "gold": lambda: self.load_gold(result, kind, result.batch_ts),
+        }
+        if layer not in loads:
+            raise ValueError(f"no layer {layer!r}")
+        names = {"source": RUN_SOURCE, "bronze": RUN_BRONZE, "silver": RUN_SILVER, "gold": RUN_GOLD}
+        result.total_rows = self._step(result.run_id, names[layer], layer, kind, loads[layer])
+        return result
+
+    def create_views(self) -> list[str]:
+        """Make every stored table, the four reports and the control tables readable in SQL as ``{layer}_{table}``.
+
+        The names are temporary views of this session over the tables as they are now: call again after a load.
+        """
+        frames = {f"bronze_{n}": self.store.read("bronze", n) for n in FEEDS}
+        frames |= {f"source_{n}": self.store.read("source", n) for n in FEEDS}
+        frames |= {f"silver_{SILVER_SPECS[n].name}": self._rows("silver", SILVER_SPECS[n].name) for n in FEEDS}
+        tables = ("dim_customers", "dim_products", "dim_date", "fact_sales", "fact_orders")
+        gold = {f"gold_{t}": self._rows("gold", t) for t in tables}
+        frames |= gold
+        if all(df is not None for df in gold.values()):
+            frames |= {f"gold_{n}": df for n, df in self.reports().items()}
+        frames["control_pipeline_log"] = self.control.run_log()
+        frames["control_pipeline_watermark"] = self.control.watermarks()
+        made = {n: df for n, df in frames.items() if df is not None}
+        for n, df in made.items():
+            df.createOrReplaceTempView(n)
+        return sorted(made)
+
     def _batch_time(self, asked: dt.datetime | None) -> dt.datetime:
         """A batch time after every stored watermark, so that no row of this run can fall under one."""
         last = max((t for t in self.control.current_watermarks().values() if t), default=None)
@@ -374,6 +435,12 @@ class Pipeline:
             "delivery_quality": R.delivery_quality(fo),
         }
 
+    def silver_digests(self) -> DataFrame:
+        """table_name, row_count, digest of every stored silver table."""
+        rows = [digest(self.silver(n), [*SILVER_SPECS[n].columns, "created_at", "updated_at"]).select(
+            F.lit(SILVER_SPECS[n].name).alias("table_name"), "*") for n in FEEDS]
+        return reduce(DataFrame.unionByName, rows)
+
     # ---- OP-C07 / G12 -------------------------------------------------------
     def gold_digests(self) -> DataFrame:
         """table_name, row_count, digest, keys_ok of every stored gold table and report.

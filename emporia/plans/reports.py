@@ -111,13 +111,15 @@ def product_performance(fact_sales: DataFrame, dim_products: DataFrame, fact_ord
     return global_rank(grouped, "total_revenue", "revenue_rank", descending=True)
 
 
-def customer_revenue(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
+def customer_revenue(fact_orders: DataFrame, dim_customers: DataFrame, key: str = "customer_key") -> DataFrame:
     """Per customer id: order count, revenue, first/last order, quality counts, repeat flag.
 
     ``fact_orders`` is unique on ``order_id`` (the loader's anti-join
-    guarantees it), so distinct orders per customer is a row count.
+    guarantees it), so distinct orders per customer is a row count.  ``key``: the column that both
+    sides share, the surrogate key of the stored tables or ``customer_id``; orders are added up by it
+    and the dimension is joined once, at customer grain.
     """
-    per_customer = fact_orders.where(F.col("customer_key").isNotNull()).groupBy("customer_key").agg(
+    per_customer = fact_orders.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.count("order_id").cast("long").alias("total_orders"),
         sum_money("total_order_value").alias("lifetime_revenue"),
         F.count("total_order_value").alias("_n"),
@@ -129,9 +131,9 @@ def customer_revenue(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFr
         count_when(F.col("is_canceled_in_transit") == 1).alias("canceled_in_transit_count"),
         count_when(F.col("is_canceled_but_reached") == 1).alias("canceled_but_reached_count"),
     )
-    dc = dim_customers.select("customer_key", "customer_id", "customer_unique_id", "customer_city",
-                              "customer_state", "customer_zip_code_prefix")
-    return per_customer.join(dc, "customer_key", "inner").select(
+    dc = dim_customers.select(*dict.fromkeys([key, "customer_id", "customer_unique_id", "customer_city",
+                                              "customer_state", "customer_zip_code_prefix"]))
+    return per_customer.join(dc, key, "inner").select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix",
         "total_orders", "lifetime_revenue",
         _avg("lifetime_revenue", "_n").alias("avg_order_value"),

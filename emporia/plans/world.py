@@ -114,16 +114,16 @@ class World:
         return G.fact_sales(self.silver("order_items"), self.silver("orders"), self.silver("payments"),
                             self.dim_customers, self.dim_products, self.dim_date)
 
-    def sales_lines(self, dim_products: DataFrame | None = None) -> DataFrame:
+    def sales_lines(self, dim_products: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
         """``fact_sales`` without the keys that a report does not read."""
         return G.fact_sales(self.silver("order_items"), self.silver("orders"), self.silver("payments"),
-                            None, dim_products, self.dim_date)
+                            None, dim_products, self.dim_date, carry=carry)
 
     @cached_property
     def order_heads(self) -> DataFrame:
-        """``fact_orders`` without the customer key."""
+        """``fact_orders`` without the customer key, with the customer's id."""
         return G.fact_orders(self.silver("orders"), self.silver("order_items"), self.silver("payments"),
-                             None, self.dim_date)
+                             None, self.dim_date, carry=("customer_id",))
 
     @cached_property
     def fact_orders(self) -> DataFrame:

@@ -43,6 +43,15 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
     ),
 }
 
+#: What a feed's text columns hold, where it is not text.
+SOURCE_KINDS: dict[str, dict[str, str]] = {
+    "customers": {"customer_zip_code_prefix": "int"},
+    "orders": {c: "time" for c in SOURCE_COLUMNS["orders"][3:]},
+    "order_items": {"order_item_id": "int", "shipping_limit_date": "time", "price": "decimal", "freight_value": "decimal"},
+    "products": {**{c: "int" for c in SOURCE_COLUMNS["products"][2:5]}, **{c: "decimal" for c in SOURCE_COLUMNS["products"][5:]}},
+    "payments": {"payment_sequential": "int", "payment_installments": "int", "payment_value": "decimal"},
+}
+
 SOURCE_SCHEMAS = {name: _text(*cols) for name, cols in SOURCE_COLUMNS.items()}
 
 # Business keys as used by the bronze NOT EXISTS guard.

@@ -4,6 +4,7 @@ import re
 
 from conftest import SF_SMALL
 from emporia.plans import catalog as C
+from emporia.plans.world import World
 
 
 def plan(df) -> str:
@@ -16,7 +17,7 @@ def test_dedup_uses_group_limit_before_shuffle(spark):
 
 
 def test_bronze_incremental_is_anti_join(spark):
-    p = plan(C.registry()["bronze_orders"](spark, SF_SMALL))
+    p = plan(World(spark, SF_SMALL).bronze_two_loads("orders"))  # the stored form: tests/test_sinks.py
     assert "LeftAnti" in p
 
 

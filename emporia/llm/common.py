@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,21 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Arrow batches of ``size`` for the Python stages that run inside, so that a worker holds few long rows at once.
+
+    Spark bounds a batch by bytes as well as by rows; the session's own setting is put back afterwards.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

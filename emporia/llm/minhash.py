@@ -17,10 +17,12 @@ then joined exactly on their rarest grams (``prefix_pairs``).  Every link is
 verified on the multisets themselves.  Classes are the connected components of
 the links.
 
-Documents with the same word sequence are one node from the start.  Documents
-without words (null, empty, signs only) are classes of one.  Ties keep the
-smallest ``doc_id``; a repeated ``doc_id`` with the same text stays one node;
-extra columns are not read; an empty table gives an empty result.
+Documents with the same word sequence are one node from the start; a node is
+known by the hash of its sequence, never by a ``doc_id``, so ids may be null or
+stand on rows of different texts.  Documents without words (null, empty, signs
+only) are classes of one.  A class is named by its smallest ``doc_id`` (null if
+it has none); every row of the table is returned once; extra columns are not
+read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import as_bytes, batch_words, splitmix, written
+from emporia.llm.common import as_bytes, batch_words, small_batches, splitmix, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
@@ -123,33 +125,39 @@ def _slices(texts: list, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """(doc_id, seq, bands): the word-sequence hash and the band keys of every document."""
+    """(doc_id, th, seq, bands): the text's hash, the word-sequence hash and the band keys of every document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, ids = as_bytes(b["text"]), b["doc_id"].to_numpy()
+            texts = as_bytes(b["text"])
             for lo, hi in _slices(texts):
                 r, g, c, seq = batch_shingles(texts[lo:hi])
                 keys = band_keys(bag_minhash(r, g, c, hi - lo))
-                yield pd.DataFrame({"doc_id": ids[lo:hi], "seq": seq.view(np.int64), "bands": list(keys)})
+                yield pd.DataFrame({"doc_id": b["doc_id"].array[lo:hi], "th": b["th"].array[lo:hi], "seq": seq.view(np.int64), "bands": list(keys)})
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, seq long, bands array<long>")
+    # The id is carried as text: a batch with a null id would turn whole numbers into floats.
+    got = _hashed(docs).withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, "doc_id string, th long, seq long, bands array<long>")
+    return got.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def multisets(docs: DataFrame) -> DataFrame:
-    """(doc_id, grams, counts) of every document of ``docs``."""
+def _hashed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.xxhash64(text).alias("th"), text.alias("text"))
+
+
+def multisets(texts: DataFrame) -> DataFrame:
+    """(doc_id, grams, counts) of every row of ``texts(text)``; ``doc_id`` is the node, the hash of the word sequence."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, ids = as_bytes(b["text"]), b["doc_id"].to_numpy()
-            for lo, hi in _slices(texts):
-                r, g, c, _ = batch_shingles(texts[lo:hi])
+            all_texts = as_bytes(b["text"])
+            for lo, hi in _slices(all_texts):
+                r, g, c, seq = batch_shingles(all_texts[lo:hi])
                 cut = np.searchsorted(r, np.arange(1, hi - lo))
-                yield pd.DataFrame({"doc_id": ids[lo:hi], "grams": np.split(g.view(np.int64), cut) if hi > lo else [],
+                yield pd.DataFrame({"doc_id": seq.view(np.int64), "grams": np.split(g.view(np.int64), cut) if hi > lo else [],
                                     "counts": np.split(c.astype(np.int32), cut) if hi > lo else []})
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
-        run, "doc_id long, grams array<long>, counts array<int>")
+    return texts.select("text").mapInPandas(run, "doc_id long, grams array<long>, counts array<int>")
 
 
 def verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
@@ -231,20 +239,24 @@ def prefix_pairs(open_docs: DataFrame, bags: DataFrame, threshold: float) -> Dat
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its class), class_size."""
+    """One row per document: doc_id, class_id (smallest doc_id of its class), class_size, th (hash of its text)."""
+    with small_batches(docs.sparkSession):
+        return _classes(docs, threshold)
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     spark = docs.sparkSession
     all_nodes = written(spark, nodes(docs), "near-nodes")
-    # Copies of one word sequence are one node; documents without words keep to themselves.
-    node = F.struct(F.col("seq").alias("seq"), F.when(F.col("seq") == 0, F.col("doc_id")).otherwise(0).alias("alone"))
-    reps = written(spark, all_nodes.groupBy(node.alias("node")).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"),
-                                                                   F.first("seq").alias("seq")), "near-reps")
-    rows = reps.where("seq <> 0").select(F.col("rep").alias("doc_id"), F.posexplode("bands").alias("band", "key")).select(
-        "doc_id", F.xxhash64("band", "key").alias("key"))
+    # Copies of one word sequence are one node (``doc_id`` below is the node); one row of it lends its text.
+    reps = written(spark, all_nodes.where("seq <> 0").groupBy(F.col("seq").alias("doc_id")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("row"), F.first("bands").alias("bands")), "near-reps")
+    rows = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", F.xxhash64("band", "key").alias("key"))
     # Tables that join on band keys are written first: each side then has its own exchange and a hot key can be split.
     shared = written(spark, rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-shared")
     members = written(spark, rows.join(shared, "key"), "near-members")
-    wanted = members.select("doc_id").distinct()
-    bags = written(spark, multisets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-bags")
+    wanted = reps.join(members.select("doc_id").distinct(), "doc_id", "left_semi").select(F.col("row.doc_id").alias("i"), F.col("row.th").alias("t"))
+    texts = _hashed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")), "left_semi").dropDuplicates(["doc_id", "th"])
+    bags = written(spark, multisets(texts), "near-bags")
 
     # The hub of a band is its member with the most company over all its bands, most likely the common original.
     company = members.groupBy("doc_id").agg(F.sum("n").alias("company"))
@@ -260,14 +272,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         found = written(spark, verified(prefix_pairs(left_open, bags, threshold), bags, threshold), "near-links")
         if not found.isEmpty():
             comp = components(links.unionByName(found))
-    named = reps.join(comp.withColumnRenamed("doc_id", "rep"), "rep", "left").select("node", F.coalesce("class_id", "rep").alias("class_id"))
-    named = written(spark, named, "near-named")
-    placed = written(spark, all_nodes.select("doc_id", node.alias("node")).join(named, "node").select("doc_id", "class_id"), "near-placed")
-    sizes = written(spark, placed.groupBy("class_id").agg(F.count("*").alias("class_size")), "near-sizes")
-    return placed.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
+    named = written(spark, reps.select(F.col("doc_id").alias("seq")).join(comp.withColumnRenamed("doc_id", "seq"), "seq", "left").select(
+        "seq", F.coalesce("class_id", "seq").alias("label")), "near-named")
+    rows = written(spark, all_nodes.where("seq <> 0").select("doc_id", "th", "seq").join(named, "seq").select("doc_id", "th", "label"), "near-placed")
+    sizes = written(spark, rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "near-sizes")
+    alone = all_nodes.where("seq = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), "th")
+    return rows.join(sizes, "label").select("doc_id", "class_id", "class_size", "th").unionByName(alone)
 
 
 def dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class (the smallest doc_id); all columns stay."""
-    keep = classes(docs, threshold).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    """``docs`` with the rows of one doc_id of each class (the smallest); all columns stay."""
+    keep = classes(docs, threshold).where("doc_id <=> class_id").select(F.col("doc_id").alias("_keep_id"), F.col("th").alias("_keep_th")).distinct()
+    here = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_keep_id")) & (here == F.col("_keep_th")), "left_semi").select(*docs.columns)

@@ -31,7 +31,7 @@ def op2_repeats(spark: SparkSession, sf: str) -> DataFrame:
 def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     got = exact_dedup.classes(read(spark, sf, "documents", "doc_id", "text"))
     return got.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
-                      (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.col("hex").alias("text_sha256"))
+                      F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("hex").alias("text_sha256"))
 
 
 def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
     got = minhash.classes(read(spark, sf, "documents", "doc_id", "text"))
-    return got.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return got.select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def op6_html(spark: SparkSession, sf: str) -> DataFrame:

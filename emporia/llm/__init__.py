@@ -1 +1 @@
-"""Training-data operators: ten corpus jobs and their registered queries (``llm/queries.py``)."""
+"""Training-data operators: thirteen corpus jobs and their registered queries (``llm/queries.py``)."""

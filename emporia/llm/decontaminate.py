@@ -13,9 +13,10 @@ Beyond that, ``scan`` explodes the window hashes and joins them with the
 windows, which shuffles where they are large; both ways give the same rows.
 
 Null or empty texts have no words: such documents are kept with ``n_words`` 0
-and such items have no windows.  Repeated rows are judged each on its own but
-share one result row per ``doc_id``'s distinct text; extra columns are not
-read; empty tables give an empty result or no hits.
+and such items have no windows.  What is found depends on the text alone, so
+rows are told apart by id and text: a null or repeated ``doc_id`` mixes no
+texts, and every row, repeated ones too, has one result row.  Extra columns are
+not read; empty tables give an empty result or no hits.
 """
 
 from __future__ import annotations
@@ -62,44 +63,60 @@ def _hashed(n: int) -> Column:
     return F.transform(_places(n), lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.xxhash64(_window(i, n)).alias("key")))
 
 
+def _key() -> Column:
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, set_windows: int = SET_WINDOWS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (sorted ids of items with occurring windows)."""
+    """One row per row of ``docs``: doc_id, n_words, n_hit, items (sorted ids of items with occurring windows)."""
+    return _scan(docs.select("doc_id", "text"), benchmark, set_windows).drop("tk")
+
+
+def _scan(docs: DataFrame, benchmark: DataFrame, set_windows: int = SET_WINDOWS) -> DataFrame:
     spark = docs.sparkSession
     windows = written(spark, benchmark_windows(benchmark), "windows")
     lengths = [r[0] for r in windows.select("n").distinct().collect()]  # at most ten numbers
-    base = docs.select("doc_id", words().alias("w"))
+    base = docs.select("doc_id", _key().alias("tk"), words().alias("w"))
     if not lengths:
-        return base.select("doc_id", F.size("w").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
+        return base.select("doc_id", "tk", F.size("w").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
                            F.array().cast("array<string>").alias("items"))
     known = windows.select("window", "items")
     count = windows.count()
     if count <= set_windows:
         keys = [r[0] for r in windows.select("key").distinct().collect()]
-        places = base.select("doc_id", F.size("w").alias("n_words"), F.concat(*[_set_hits(n, keys) for n in lengths]).alias("c"))
-        rows = places.select("doc_id", "n_words", F.explode_outer("c").alias("c")).select("doc_id", "n_words", "c.at", "c.n", "c.window")
-        hits = rows.join(F.broadcast(known), "window", "left")
+        places = base.select("doc_id", "tk", F.size("w").alias("n_words"), F.concat(*[_set_hits(n, keys) for n in lengths]).alias("c"))
+        hits = _candidates(places).join(F.broadcast(known), "window", "left")
     else:
         hits = _scan_by_join(base, windows, lengths)
-    per_doc = hits.groupBy("doc_id").agg(
+    # Rows that agree in id, text and partition share a group that counts them; one partition bounds their number.
+    per_row = hits.groupBy("doc_id", "tk", "part").agg(
         F.max("n_words").alias("n_words"),
+        F.count(F.when(F.coalesce("pos", F.lit(0)) == 0, 1)).cast("int").alias("rows"),
         F.collect_set(F.when(F.col("items").isNotNull(), F.struct("at", "n"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))))
-    return per_doc.select("doc_id", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"), "items")
+    found = per_row.select("doc_id", "tk", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"), "items", "rows")
+    return found.withColumn("rows", F.explode(F.sequence(F.lit(1), "rows"))).drop("rows")
+
+
+def _candidates(places: DataFrame) -> DataFrame:
+    """One row per candidate window of ``places(doc_id, tk, n_words, c)``, numbered from 0 within its row; one (null) for a row without any."""
+    rows = places.select("doc_id", "tk", F.spark_partition_id().alias("part"), "n_words", F.posexplode_outer("c").alias("pos", "c"))
+    return rows.select("doc_id", "tk", "part", "n_words", "pos", "c.at", "c.n", "c.window")
 
 
 def _scan_by_join(base: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
     """Hits where the benchmark is too large to travel: window hashes join window hashes, then words are compared."""
-    exploded = base.select("doc_id", F.explode(F.concat(*[_hashed(n) for n in lengths])).alias("c")).select("doc_id", "c.at", "c.n", "c.key")
-    found = exploded.join(windows.select("key", "n").distinct(), ["key", "n"], "left_semi").groupBy("doc_id").agg(
+    exploded = base.select("tk", F.explode(F.concat(*[_hashed(n) for n in lengths])).alias("c")).select("tk", "c.at", "c.n", "c.key")
+    found = exploded.join(windows.select("key", "n").distinct(), ["key", "n"], "left_semi").groupBy("tk").agg(
         F.collect_set(F.struct("at", "n")).alias("c"))
-    texts = base.join(found, "doc_id", "left")
-    rows = texts.select("doc_id", F.size("w").alias("n_words"), F.explode_outer(F.transform("c", lambda c: F.struct(
-        c["at"].alias("at"), c["n"].alias("n"), F.array_join(_window(c["at"], c["n"]), " ").alias("window")))).alias("c"))
-    return rows.select("doc_id", "n_words", "c.at", "c.n", "c.window").join(windows.select("window", "items"), "window", "left")
+    texts = base.join(found, "tk", "left")
+    places = texts.select("doc_id", "tk", F.size("w").alias("n_words"), F.transform("c", lambda c: F.struct(
+        c["at"].alias("at"), c["n"].alias("n"), F.array_join(_window(c["at"], c["n"]), " ").alias("window"))).alias("c"))
+    return _candidates(places).join(windows.select("window", "items"), "window", "left")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark window; all columns stay."""
-    bad = scan(docs, benchmark).where("n_hit > 0").select("doc_id")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows whose text holds a benchmark window; all columns stay."""
+    bad = _scan(docs.select("doc_id", "text"), benchmark).where("n_hit > 0").select(F.col("tk").alias("_leaked_text")).distinct()
+    return docs.join(bad, _key() == F.col("_leaked_text"), "left_anti")

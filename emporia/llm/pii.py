@@ -62,13 +62,36 @@ CONTEXT_CHARS = 32
 FOUND = "array<struct<s:int,e:int,t:string,c:string>>"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _before(lengths: str, step: int = 64) -> str:
+    """For each place of the array ``lengths`` (a name) the sum of what stands before it.
+
+    Sums run within blocks of ``step``, over the blocks of ``step`` blocks, and over those, so that no long array
+    grows one by one: the time is linear up to millions of matches.
+    """
+    def blocks(of: str, total: str) -> str:  # running sums, from 0, of each block; the last one is the block's total
+        return (f"transform(sequence(0, greatest(({total}) - 1, 0) div {step}), k -> aggregate(sequence(0, {step - 1}), array(0), "
+                f"(a, j) -> concat(a, array(element_at(a, -1) + coalesce(get({of}, {step} * k + j), 0)))))")
+
+    totals = "transform({0}, y -> element_at(y, -1))"
+    top = "aggregate(t2, array(0), (a, y) -> concat(a, array(element_at(a, -1) + y)))"
+    outer = _let("b2", blocks("t1", "size(t1)"), _let("t2", totals.format("b2"), _let("b3", top,
+            "flatten(transform(b2, (y, k) -> transform(slice(y, 1, " + str(step) + "), z -> z + get(b3, k))))")))
+    return _let("b1", blocks(lengths, f"size({lengths})"), _let("t1", totals.format("b1"), _let("o1", outer,
+                f"flatten(transform(b1, (y, k) -> transform(slice(y, 1, {step}), z -> z + get(o1, k))))")))
+
+
 def _placed(name: str) -> str:
     """Matches of one pattern with their places, from the matches and the pieces between them."""
-    return f"""coalesce(aggregate(zip_with(slice(p_{name}, 1, size(h_{name})), h_{name}, (x, y) -> named_struct('p', x, 'h', y)),
-        named_struct('at', 0, 'out', cast(array() as {FOUND})),
-        (a, x) -> named_struct('at', a.at + length(x.p) + length(x.h), 'out', concat(a.out, array(named_struct(
-            's', a.at + length(x.p), 'e', a.at + length(x.p) + length(x.h), 't', x.h, 'c', lower(right(x.p, {CONTEXT_CHARS})))))),
-        a -> a.out), cast(array() as {FOUND}))"""
+    spans = f"""zip_with(m, slice(q, 1, size(m)), (x, b) -> named_struct('s', b + length(x.p), 'e', b + length(x.p) + length(x.h),
+        't', x.h, 'c', lower(right(x.p, {CONTEXT_CHARS}))))"""
+    placed = _let("m", f"zip_with(slice(p_{name}, 1, size(h_{name})), h_{name}, (x, y) -> named_struct('p', x, 'h', y))",
+                  _let("l", "transform(m, x -> length(x.p) + length(x.h))", _let("q", _before("l"), spans)))
+    return f"CASE WHEN size(h_{name}) > 0 THEN {placed} ELSE cast(array() as {FOUND}) END"
 
 
 _DIGITS = "regexp_replace(x.t, '[^0-9]', '')"

@@ -3,8 +3,8 @@
 Every text becomes some twenty statistics (lengths, character classes, word and
 line repetition).  Random Fourier features approximate a Gaussian kernel over
 the standardised statistics; ridge scores come from the normal equations, whose
-sums are formed per partition and added in two steps, so the driver gets a few
-matrices of fixed size.  Scores are calibrated by isotonic regression over
+sums are formed per partition and added as they stream in two steps, so the
+driver gets a few matrices of fixed size.  Scores are calibrated by isotonic regression over
 equal-width bins of the ridge score (at most ``BINS`` rows reach the driver).
 
 Only ``text`` is an input of a score; labels are learnt only from rows whose
@@ -21,16 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import as_bytes, batch_words, written
+from emporia.llm.common import as_bytes, batch_words, small_batches, written
 from emporia.llm.minhash import _slices
 
 FEATURES, GAMMA, RIDGE, BINS, SEED = 192, 0.04, 1.0, 2048, 7
 STATISTICS = ("log_bytes", "log_words", "letter", "digit", "space", "newline", "upper", "high", "sign", "hash", "pipe",
-              "word_mean", "word_sd", "long_word", "short_word", "distinct", "top_word", "same_next", "line_mean", "line_same",
-              "sign_word", "stop")
+              "word_mean", "word_sd", "long_word", "short_word", "distinct", "top_word", "same_next", "line_mean", "line_same", "stop")
 
 
 def _classes() -> np.ndarray:
@@ -88,26 +88,19 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     out[:, 15], out[:, 16] = distinct, top / most
     out[:, 17] = np.bincount(rows, same, n) / most
     out[:, 18], out[:, 19] = np.log1p(size / np.maximum(n_lines, 1)), line_same
-    out[:, 20] = np.array([t.count(b"$$$") + t.count(b"%%%") + t.count(b"&&&") + t.count(b"***") + t.count(b"###") for t in texts], float) / most if n else 0
-    out[:, 21] = np.array([t.count(b". ") + t.count(b".\n") for t in texts], float) / most if n else 0
+    out[:, 20] = np.array([t.count(b". ") + t.count(b".\n") for t in texts], float) / most if n else 0
     return out
 
 
-def with_statistics(docs: DataFrame, keyed: bool = False) -> DataFrame:
-    """(doc_id, x) of every row, and the key of its text if ``keyed``."""
+def with_statistics(docs: DataFrame) -> DataFrame:
+    """(doc_id, x) of every row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts, ids = as_bytes(b["text"]), b["doc_id"].to_numpy()
             for lo, hi in _slices(texts):
-                out = {"doc_id": ids[lo:hi], "x": list(statistics(texts[lo:hi]))}
-                yield pd.DataFrame(out | {"key": b["key"].to_numpy()[lo:hi]} if keyed else out)
+                yield pd.DataFrame({"doc_id": ids[lo:hi], "x": list(statistics(texts[lo:hi]))})
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *([_key().alias("key")] if keyed else []))
-    return rows.mapInPandas(run, "doc_id long, x array<double>" + ", key string" * keyed)
-
-
-def _key():
-    return F.sha2(F.coalesce("text", F.lit("")), 256)
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, x array<double>")
 
 
 class Fourier:
@@ -124,12 +117,20 @@ class Fourier:
 
 
 def _added(parts: DataFrame, ways: int = 16) -> np.ndarray | None:
-    """Sum of the vectors of ``parts(part, v)``: first in ``ways`` groups on the executors, then on the driver."""
+    """Sum of the vectors of ``parts(part, v)``: as they stream, first in the session's partitions, then in ``ways``, then on the driver."""
 
-    def add(g: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"v": [np.sum(np.stack([np.asarray(v) for v in g["v"]]), axis=0)]})
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, part = None, 0
+        for b in batches:
+            for part, v in zip(b["part"], b["v"], strict=True):
+                total = np.array(v) if total is None else total + v
+        if total is not None:
+            yield pd.DataFrame({"part": [part], "v": [total]})
 
-    some = parts.groupBy(F.pmod(F.hash("part"), F.lit(ways)).alias("k")).applyInPandas(add, "v array<double>").collect()
+    with small_batches(parts.sparkSession):
+        for to in ((), (ways,)):
+            parts = parts.repartition(*to, "part").mapInPandas(add, "part long, v array<double>")
+        some = parts.collect()
     return np.sum([np.array(r["v"]) for r in some], axis=0) if some else None
 
 
@@ -219,31 +220,44 @@ def fit(rows: DataFrame) -> Model:
     return model
 
 
-def scored(docs: DataFrame, labels: DataFrame, keyed: bool = False) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, and the key of its text if ``keyed``."""
-    spark = docs.sparkSession
-    stats = written(spark, with_statistics(docs, keyed), "quality-stats")
-    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
-    learn = labels.select("doc_id", F.col("quality").cast("double").alias("y")).where("y in (0.0, 1.0)").where(remainder != 1)
-    rows = written(spark, stats.join(learn, "doc_id").select("x", "y"), "quality-train")
-    model = fit(rows)
+def _held_out():
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+
+
+def learnt(stats: DataFrame, labels: DataFrame) -> Model:
+    """The model fitted on the rows of ``stats(doc_id, x)`` that have a label and are not held out."""
+    learn = labels.select("doc_id", F.col("quality").cast("double").alias("y")).where("y in (0.0, 1.0)").where(~_held_out())
+    return fit(written(stats.sparkSession, stats.join(learn, "doc_id").select("x", "y"), "quality-train"))
+
+
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted."""
+    stats = written(docs.sparkSession, with_statistics(docs), "quality-stats")
+    model = learnt(stats, labels)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                s = model.score(np.stack([np.asarray(x) for x in b["x"]]))
-                out = {"doc_id": b["doc_id"].to_numpy(), "score": s}
-                yield pd.DataFrame(out | {"key": b["key"].to_numpy()} if keyed else out)
+                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "score": model.score(np.stack([np.asarray(x) for x in b["x"]]))})
 
-    out = stats.mapInPandas(run, "doc_id long, score double" + ", key string" * keyed)
-    return out.select("doc_id", (remainder == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
-                      *(["key"] if keyed else []))
+    out = stats.mapInPandas(run, "doc_id long, score double")
+    return out.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the classifier rejects; all columns stay.
 
-    A score depends on the text alone, so rows are kept by their text: ids may be null or repeated.
+    A score depends on the text alone, so a row is scored and kept or dropped where it lies; no text is shuffled,
+    and ids may be null or repeated.
     """
-    keep = scored(docs, labels, keyed=True).where("predicted = 1").select(F.col("key").alias("_keep_key")).distinct()
-    return docs.join(keep, _key() == F.col("_keep_key"), "left_semi")
+    model = learnt(written(docs.sparkSession, with_statistics(docs), "quality-stats"), labels)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = as_bytes(pd.Series([t or "" for t in b.column(at).to_pylist()], dtype=object))
+            keep = [model.score(statistics(texts[lo:hi])) >= 0.5 for lo, hi in _slices(texts)]
+            if keep:
+                yield b.filter(pa.array(np.concatenate(keep)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -23,9 +23,10 @@ Groups beyond ``HOT_SEGMENTS`` different segments of one gram never meet in a
 task: their windows are counted by digest, which aggregates map-side and is exact.
 
 Null counts as empty; texts under 400 bytes keep every byte; matches never cross
-documents; a repeated row is one more occurrence.  Rows with a null ``doc_id``
-count as partners and are returned with nothing removed.  Extra columns are not
-read; an empty table gives an empty result.
+documents; a repeated row is one more occurrence.  Rows are told apart by id and text
+(``own``, ``tk``; two hashes of the text where the id is null), so rows with a
+null or repeated ``doc_id`` are cut like all others.  Extra columns are not read;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ from emporia.llm.common import RollingHash, as_bytes, shuffle_width, written
 REPEAT, GRAM = 400, 128
 BUCKET_SEGMENTS = 2048
 HOT_SEGMENTS = 20_000
-_INDEX = np.uint64((1 << 28) - 1)
+#: Bits of a place; Spark's texts are under 2 GiB.  Equal windows still agree on their smallest hash, by its other bits and then leftmost.
+_INDEX = np.uint64((1 << 31) - 1)
 
 
 def named_grams(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -146,22 +148,21 @@ def runs(owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return (o[first], p[first], p[last]) if len(o) else (o, p, p)
 
 
-KEY = ["doc_id", "tk"]
+KEY = ["own", "tk"]
 
 
 def _segments(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for doc, tk, text in zip(b["doc_id"], b["tk"], as_bytes(b["text"]), strict=True):
+            for own, tk, text in zip(b["own"], b["tk"], as_bytes(b["text"]), strict=True):
                 h, lo, hi, at = segments_of(text)
                 if len(h):
                     view = memoryview(text)
                     d = [int.from_bytes(hashlib.blake2b(view[x : y - 1 + REPEAT], digest_size=8).digest(), "little", signed=True)
                          for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]
-                    yield pd.DataFrame({"doc_id": None if pd.isna(doc) else int(doc), "tk": tk, "h": h, "d": d, "lo": lo, "hi": hi, "at": at}
-                                       ).astype({"doc_id": "Int64"})
+                    yield pd.DataFrame({"own": own, "tk": tk, "h": h, "d": d, "lo": lo, "hi": hi, "at": at})
 
-    return docs.where(F.octet_length("text") >= REPEAT).mapInPandas(_joined(run), "doc_id long, tk long, h long, d long, lo int, hi int, at int")
+    return docs.where(F.octet_length("text") >= REPEAT).mapInPandas(_joined(run), "own long, tk long, h long, d long, lo int, hi int, at int")
 
 
 def _joined(run, rows: int = 50_000):
@@ -183,32 +184,32 @@ def _joined(run, rows: int = 50_000):
 
 
 def _cut(texts: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Bytes of ``pieces(doc_id, tk, h, lo, hi, at, n)``, cut from the texts they lie in."""
+    """Bytes of ``pieces(own, tk, h, lo, hi, at, n)``, cut from the texts they lie in."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for doc, tk, text, parts in zip(b["doc_id"], b["tk"], as_bytes(b["text"]), b["parts"], strict=True):
-                yield pd.DataFrame([(doc, tk, p["h"], p["lo"], p["hi"], p["at"], p["n"], text[p["lo"] : p["hi"] - 1 + REPEAT]) for p in parts],
-                                   columns=["doc_id", "tk", "h", "lo", "hi", "at", "n", "data"])
+            for own, tk, text, parts in zip(b["own"], b["tk"], as_bytes(b["text"]), b["parts"], strict=True):
+                yield pd.DataFrame([(own, tk, p["h"], p["lo"], p["hi"], p["at"], p["n"], text[p["lo"] : p["hi"] - 1 + REPEAT]) for p in parts],
+                                   columns=["own", "tk", "h", "lo", "hi", "at", "n", "data"])
 
     of = pieces.groupBy(*KEY).agg(F.collect_list(F.struct("h", "lo", "hi", "at", "n")).alias("parts"))
     one = texts.dropDuplicates(KEY)
     return one.join(of, KEY).select(*KEY, "text", "parts").mapInPandas(
-        _joined(run, 2000), "doc_id long, tk long, h long, lo int, hi int, at int, n long, data binary")
+        _joined(run, 2000), "own long, tk long, h long, lo int, hi int, at int, n long, data binary")
 
 
 def _columnwise(pieces: DataFrame, buckets: int) -> DataFrame:
-    """Repeated runs (doc_id, tk, a, b) in bytes of differing segments, a bucket of grams at a time."""
+    """Repeated runs (own, tk, a, b) in bytes of differing segments, a bucket of grams at a time."""
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
         lo, at = p["lo"].to_numpy(np.int64), p["at"].to_numpy(np.int64)
         group = pd.factorize(p["h"])[0].astype(np.int64)
         who, window = repeated_windows(group, lo - at, p["hi"].to_numpy(np.int64) - lo, p["n"].to_numpy(np.int64), [bytes(x) for x in p["data"]])
         o, first, last = runs(who, window)
-        return pd.DataFrame({"doc_id": p["doc_id"].to_numpy()[o], "tk": p["tk"].to_numpy()[o],
+        return pd.DataFrame({"own": p["own"].to_numpy()[o], "tk": p["tk"].to_numpy()[o],
                              "a": (lo[o] + first).astype(np.int32), "b": (lo[o] + last + REPEAT).astype(np.int32)})
 
-    return pieces.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket")).applyInPandas(run, "doc_id long, tk long, a int, b int")
+    return pieces.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket")).applyInPandas(run, "own long, tk long, a int, b int")
 
 
 def _counted(pieces: DataFrame) -> DataFrame:
@@ -216,21 +217,24 @@ def _counted(pieces: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for doc, tk, h, lo, n, data in zip(b["doc_id"], b["tk"], b["h"], b["lo"], b["n"], b["data"], strict=True):
+            for own, tk, h, lo, n, data in zip(b["own"], b["tk"], b["h"], b["lo"], b["n"], b["data"], strict=True):
                 w = len(data) - REPEAT + 1
-                yield pd.DataFrame({"doc_id": doc, "tk": tk, "s": np.arange(lo, lo + w, dtype=np.int32), "n": n, "h": h,
+                yield pd.DataFrame({"own": own, "tk": tk, "s": np.arange(lo, lo + w, dtype=np.int32), "n": n, "h": h,
                                     "w": [hashlib.blake2b(data[i : i + REPEAT], digest_size=16).digest() for i in range(w)]})
 
-    windows = written(pieces.sparkSession, pieces.mapInPandas(_joined(run), "doc_id long, tk long, s int, n long, h long, w binary"), "repeat-windows")
+    windows = written(pieces.sparkSession, pieces.mapInPandas(_joined(run), "own long, tk long, s int, n long, h long, w binary"), "repeat-windows")
     twice = windows.groupBy("w").agg(F.sum("n").alias("c")).where("c > 1").select("w")
-    return windows.where("n = 1").join(twice, "w", "left_semi").select("doc_id", "tk", F.col("s").alias("a"), (F.col("s") + REPEAT).alias("b"))
+    return windows.where("n = 1").join(twice, "w", "left_semi").select("own", "tk", F.col("s").alias("a"), (F.col("s") + REPEAT).alias("b"))
 
 
 def remove(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
-    texts = docs.select("doc_id", F.xxhash64(text).alias("tk"), text.alias("text"))
+    # Where the id is null, two hashes with different seeds name the text.
+    texts = docs.select(F.coalesce("doc_id", F.xxhash64(F.lit(1), text)).alias("own"), F.xxhash64("doc_id", text).alias("tk"),
+                        F.col("doc_id").isNull().alias("unnamed"), text.alias("text"))
+    doc_id = F.when(~F.col("unnamed"), F.col("own")).alias("doc_id")
     segments = written(spark, _segments(texts), "repeat-segments")
     # Written, so that the join below has an exchange of its own and a hot gram's partition can be split.
     often = written(spark, segments.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "repeat-often")
@@ -258,7 +262,7 @@ def remove(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for doc, data, found in zip(b["doc_id"], as_bytes(b["text"]), b["spans"], strict=True):
+            for own, unnamed, data, found in zip(b["own"], b["unnamed"], as_bytes(b["text"]), b["spans"], strict=True):
                 merged: list[list[int]] = []
                 for x, y in sorted((s["a"], s["b"]) for s in (found if found is not None else ())):
                     if merged and x <= merged[-1][1]:
@@ -270,12 +274,13 @@ def remove(docs: DataFrame, hot_segments: int = HOT_SEGMENTS) -> DataFrame:
                     sha.update(data[at:x])
                     at = y
                 sha.update(data[at:])
-                out.append((doc, len(data), sum(y - x for x, y in merged), len(merged), sha.hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                out.append((own, unnamed, len(data), sum(y - x for x, y in merged), len(merged), sha.hexdigest()))
+            yield pd.DataFrame(out, columns=["own", "unnamed", *result])
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    changed = touched.join(per_doc, KEY, "left").select("doc_id", "text", "spans").mapInPandas(cut_out, schema)
-    untouched = texts.select("doc_id", "tk", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("kept_sha256")).join(
+    result = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    schema = "own long, unnamed boolean, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    changed = touched.join(per_doc, KEY, "left").select("own", "unnamed", "text", "spans").mapInPandas(cut_out, schema).select(doc_id, *result)
+    untouched = texts.select(*KEY, doc_id, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("kept_sha256")).join(
         touched.select(*KEY).distinct(), KEY, "left_anti")
     zero = F.lit(0).cast("long")
     return changed.unionByName(untouched.select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256"))

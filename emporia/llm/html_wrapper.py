@@ -7,7 +7,8 @@ distinct folded streams of a host are then aligned one after the other into a
 wrapper: a union-free regular expression in which a mismatch becomes an optional
 group, a run that one side repeats becomes a repeated group, and texts become
 slots.  Slots in menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments are boilerplate.  Each page is then matched against the wrapper,
+reader comments are boilerplate, but a form or a marked block that frames the
+whole page is not (``frames``).  Each page is then matched against the wrapper,
 so that each of its texts has a wrapper position; a text that stands at the same
 position on most pages of the host is boilerplate too (outside of regions), and
 other texts of that position are not.  A page with content slots in an article
@@ -21,7 +22,7 @@ small one.  The wrapper of a host is joined back to its pages under a salt.
 
 ``html`` null counts as empty: text empty, length 0.  A null or unparsable url
 puts a page under the host ''.  Nothing is cut: broken or unclosed markup is read
-as browsers do it for blocks.  Every page's stream takes part in the inference,
+as browsers do it for blocks; blocks nested below ``DEPTH`` keep their texts.  Every page's stream takes part in the inference,
 and an alignment keeps what it aligns, so the wrapper covers every page.
 Repeated rows give the same row each; extra columns are not read.
 """
@@ -53,7 +54,13 @@ BOILER_TAGS = frozenset("nav header footer aside menu form fieldset dialog searc
 BOILER_NAMES = re.compile(r"(^|[-_ ])(ads?|advert\w*|banner|promo\w*|sponsor\w*|comments?|replies|disqus|cookie\w*|notice\w*|consent|popup|modal|"
                           r"newsletter|subscribe|signup|login|search|share|social|sidebar|side|widget|related|recommend\w*|breadcrumbs?|menu|"
                           r"nav\w*|footer|header|masthead|toolbar|pagination|pager|alert|skip)([-_ ]|$)", re.I)
+#: A class that says what its block has or lacks does not say what the block is.
+SAYS_OF = re.compile(r"(has|with|without|no|not|hide|show)[-_]", re.I)
+#: Marks of lists within a page; a block with one of them is never the frame of a page.
+LISTS = re.compile(r"(^|[-_ ])(comments?|replies|disqus|related|recommend\w*|widget)([-_ ]|$)", re.I)
 REGIONS = ("article", "main")
+#: Blocks below this depth share the group of the block that holds them there; their names and texts all count.
+DEPTH = 128
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)[^<>]*$", re.S)
 ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 SPACE = re.compile(r"\s+")
@@ -68,8 +75,8 @@ def _name(tag: str, attributes: str) -> str:
         return tag
     found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
     marks = [v for k in ("class", "id", "role") for v in found.get(k, "").split()]
-    boiler = next((m for m in marks if BOILER_NAMES.search(m)), None)
-    if boiler and tag not in REGIONS and tag != "body":
+    boiler = next((m for m in marks if BOILER_NAMES.search(m) and not SAYS_OF.match(m)), None)
+    if boiler and tag not in REGIONS and tag not in ("html", "body"):
         return f"{tag}.{boiler.lower()}"
     if found.get("role", "").lower() == "main":
         return "main"
@@ -137,22 +144,54 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         yield "close", stack.pop()[1], ""
 
 
+def frames(events: list[tuple[str, str, str]]) -> set[int]:
+    """The opening events of blocks that look like boilerplate by name but frame the page.
+
+    A form or a block with such a class or id is a frame if it holds half of the page's text or more and
+    every article and main region of the page, or, on a page without regions, a footer and a header or menu.
+    """
+    total = {"text": 0, "region": 0, "top": 0, "footer": 0}
+    opened: list[tuple[int, dict]] = []
+    marked: list[tuple[int, dict]] = []
+    for at, (kind, name, text) in enumerate(events):
+        if kind == "open":
+            opened.append((at, dict(total)))
+            sort = "region" if name in REGIONS else "top" if name in ("header", "nav") else name
+            if sort in total:
+                total[sort] += 1
+        elif kind == "text":
+            total["text"] += len(text)
+        else:
+            at, before = opened.pop()
+            name = events[at][1]
+            if name in ("form", "fieldset") or "." in name and name.split(".")[0] not in BOILER_TAGS - {"form", "fieldset"} and not LISTS.search(name.split(".", 1)[1]):
+                marked.append((at, {k: total[k] - n for k, n in before.items()}))
+    return {at for at, held in marked if 2 * held["text"] >= total["text"] > 0 and (
+        held["region"] == total["region"] if total["region"] else held["top"] and held["footer"])}
+
+
 # ---- union-free expressions: nested lists [name, children, optional, repeated, texts]; text slots are named '#' and hold the numbers of their texts ----
 def tree(page: str) -> tuple[list, list[tuple[tuple[str, ...], str]]]:
     """The folded stream of a page and its texts with their paths of names."""
+    events = list(tokens(page))
+    frame = frames(events)
     root: list = ["", [], False, False, []]
-    stack, texts = [root], []
-    for kind, name, text in tokens(page):
+    stack, names, texts = [root], [], []
+    for at, (kind, name, text) in enumerate(events):
         if kind == "open":
-            node = [name, [], False, False, []]
-            stack[-1][1].append(node)
-            stack.append(node)
+            names.append("div" if at in frame else name)
+            if len(names) <= DEPTH:
+                node = [names[-1], [], False, False, []]
+                stack[-1][1].append(node)
+                stack.append(node)
         elif kind == "close":
-            node = stack.pop()
-            node[1] = fold(node[1])
+            if len(names) <= DEPTH:
+                node = stack.pop()
+                node[1] = fold(node[1])
+            names.pop()
         else:
             stack[-1][1].append(["#", [], False, False, [len(texts)]])
-            texts.append((tuple(s[0] for s in stack[1:]), text))
+            texts.append((tuple(names), text))
     root[1] = fold(root[1])
     return root, texts
 

@@ -15,6 +15,12 @@ begins with ``a`` (is ``a`` or was built with ``a`` at its left edge).  So the
 reach is the heaviest chain of rules, which ``sufficient_lookahead`` computes
 in one pass over the merges from the last to the first.
 
+``digests`` feeds the transducer a window of the text at a time.  No pre-token
+crosses a space before a visible character, so windows and the units in them are
+cut there, and short units go through a bounded cache of what the transducer gave
+for them.  All texts take this way; a stretch without such a space that is longer
+than a window streams through it.
+
 Null texts count as empty (no tokens, empty decoded text).  Very long texts
 and very long pre-tokens (one letter run of megabytes) stream in pieces.
 Repeated rows and ties are independent; extra columns are ignored by the
@@ -26,7 +32,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -35,6 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRETOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: No pre-token crosses this place: what follows starts one, and blanks before it end one.
+CUT = re.compile(r" (?=\S)")
 CHUNK = 1 << 16
 #: Units in each of the two generations of a task's cache.
 CACHE = 400_000
@@ -128,7 +138,6 @@ class BpeCodec:
         self.splitter = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))
                                       + ")") if self.added else None
         self.runs = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+")]
-        self.two_spaces = regex.compile(r"\s\s")
         self.cache_size = cache
         self.units: dict[str, tuple[int, bytes, bytes]] = {}
         self.old: dict[str, tuple[int, bytes, bytes]] = {}
@@ -276,14 +285,34 @@ class BpeCodec:
                 got = (sum(g[0] for g in parts), b"".join([g[1] for g in parts]), b"".join([g[2] for g in parts]))
         return self._keep(u, got)
 
+    def _windows(self, text: str) -> Iterator[tuple[list[str], range]]:
+        """(units, none) of each window of a text, or (none, starts of the pieces) of a stretch that cannot be cut."""
+        at = 0
+        while at < len(text):
+            cut = CUT.search(text, at + CHUNK)
+            end = cut.start() if cut else len(text)
+            if end - at > 2 * CHUNK:
+                yield [], range(at, end, CHUNK)
+            else:
+                first, *others = CUT.split(text[at:end])
+                yield ([first] if first else []) + [" " + u for u in others], range(end, end)
+            at = end
+
     def warm(self, texts: list[str]) -> None:
-        """Merge the unknown words of many texts together: one merge per word and round, all words at once."""
-        new = set()
+        """Merge the unknown words of many texts together, a bounded number of units at a time."""
+        new: set[str] = set()
         for t in texts:
-            new.update(t.split(" "))
+            for units, _ in self._windows(t):
+                new.update(units)
+                if len(new) > CHUNK:
+                    self._warm(new)
+                    new = set()
+        self._warm(new)
+
+    def _warm(self, new: set[str]) -> None:
+        """One merge per word and round, all words at once."""
         words: set[str] = set()
         for u in new:
-            u = " " + u
             if len(u) <= 64 and u not in self.units and u not in self.old:
                 words.update([u] if _one(u) else self.pattern.findall(u))
         todo = [(w, d) for w in words if w not in self.units and w not in self.old and 1 < len(d := w.encode("utf-8", "surrogatepass")) <= 32]
@@ -335,11 +364,7 @@ class BpeCodec:
         return part.tolist(), n.tolist()
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
-        """(tokens, SHA-256 of the comma-joined ids, SHA-256 of the decoded text).
-
-        Where no two blanks stand together, every pre-token ends at or before
-        the next space, so space-delimited units tokenise on their own.
-        """
+        """(tokens, SHA-256 of the comma-joined ids, SHA-256 of the decoded text)."""
         ids_sha, text_sha, machine, n = hashlib.sha256(), hashlib.sha256(), IncrementalText(), 0
         lead = True
 
@@ -354,23 +379,14 @@ class BpeCodec:
         for p in (self.splitter.split(text or "") if self.splitter else [text or ""]):
             if p in self.added:
                 take(1, b",%d" % self.added[p], p.encode())
-            elif not p:
                 continue
-            elif self.two_spaces.search(p) or len(p) > 64 * p.count(" ") + 64:
-                batch: list[int] = []
-                for t in self.plain(p[i : i + CHUNK] for i in range(0, len(p), CHUNK)):
-                    batch.append(t)
-                    if len(batch) >= 4096:
-                        take(len(batch), b"".join(b",%d" % i for i in batch), b"".join(map(self.bytes_of.__getitem__, batch)))
-                        batch = []
-                take(len(batch), b"".join(b",%d" % i for i in batch), b"".join(map(self.bytes_of.__getitem__, batch)))
-            else:
-                first, *others = p.split(" ")
-                units = ([first] if first else []) + [" " + u for u in others]
-                for at in range(0, len(units), 4096):
-                    known = self.units
-                    got = [known.get(u) or self._unit(u) for u in units[at : at + 4096]]
-                    take(sum(g[0] for g in got), b"".join([g[1] for g in got]), b"".join([g[2] for g in got]))
+            for units, pieces in self._windows(p):
+                known = self.units
+                got = [known.get(u) or self._unit(u) for u in units]
+                take(sum(g[0] for g in got), b"".join([g[1] for g in got]), b"".join([g[2] for g in got]))
+                stream = self.plain(p[i : min(i + CHUNK, pieces.stop)] for i in pieces)
+                while batch := list(islice(stream, 4096)):
+                    take(*self._entry(batch))
         text_sha.update(machine.finish().encode())
         return n, ids_sha.hexdigest(), text_sha.hexdigest()
 

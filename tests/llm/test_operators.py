@@ -417,6 +417,37 @@ def test_bpe_opening_quotes_equal_the_library(codec):
                 assert codec.digests(x)[:2] == (len(ids), sha(",".join(map(str, ids)))), x
 
 
+def test_bpe_windows_cut_anywhere_equal_the_library(codec, monkeypatch):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rng = random.Random(21)
+    texts = ["".join(rng.choice("aab  \n\t\x1c\u3000'sl1é中!") for _ in range(rng.randrange(400))) for _ in range(300)]
+    for chunk in (16, 37, 100):
+        monkeypatch.setattr(bpe, "CHUNK", chunk)
+        for x in texts:
+            ids = t.encode(x, add_special_tokens=False).ids
+            assert codec.digests(x)[:2] == (len(ids), sha(",".join(map(str, ids)))), (chunk, x)
+
+
+@pytest.mark.parametrize("unit", ["word an\n\n", "it's  1 ", "ab", "中!"])
+def test_bpe_memory_does_not_grow_with_the_text(codec, unit, monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(bpe, "CHUNK", 1 << 11)
+    peaks = []
+    for size in (1 << 13, 1 << 16):
+        text = unit * (size // len(unit))
+        tracemalloc.start()
+        codec.warm([text])
+        codec.digests(text)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    # The splitter's and the callers' copies of the text itself are all that may grow.
+    assert peaks[1] < peaks[0] + 3 * (1 << 16) * (1 if text.isascii() else 2)
+
+
 def test_lookahead_suffices(codec):
     rng = random.Random(9)
     for _ in range(20):

@@ -42,6 +42,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporia.llm.common import trimmed
+
 PRETOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: No pre-token crosses this place: what follows starts one, and blanks before it end one.
 CUT = re.compile(r" (?=\S)")
@@ -419,4 +421,4 @@ def digest_documents(docs: DataFrame, tokenizer_json: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        trimmed(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from emporia.session import checkpoint_root
@@ -33,19 +36,55 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches of ``size`` from here on in the session: for stages that are executed after they are returned."""
+    spark.conf.set(BATCH_BYTES, size)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
     """Arrow batches of ``size`` for the Python stages that run inside, so that a worker holds few long rows at once.
 
     Spark bounds a batch by bytes as well as by rows; the session's own setting is put back afterwards.
     """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, size)
+    before = spark.conf.get(BATCH_BYTES)
+    bound_batches(spark, size)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        bound_batches(spark, before)
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` of a ``mapInPandas`` or ``mapInArrow`` stage whose worker gives freed memory back to the system.
+
+    Workers live on from stage to stage; what an allocator keeps of one stage's batches counts against the
+    executor during the next.  Memory is given back at the start, at most once a second, and at the end.
+    """
+
+    def out(batches: Iterator) -> Iterator:
+        give_back()
+        last = time.monotonic()
+        for frame in run(batches):
+            yield frame
+            del frame
+            if time.monotonic() - last > 1:
+                give_back()
+                last = time.monotonic()
+        give_back()
+
+    return out
+
+
+def give_back() -> None:
+    """Return the free memory of Arrow's pool and, where the C library can, of its heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import as_bytes, batch_words, small_batches, splitmix, written
+from emporia.llm.common import as_bytes, batch_words, small_batches, splitmix, trimmed, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
@@ -136,7 +136,7 @@ def nodes(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": b["doc_id"].array[lo:hi], "th": b["th"].array[lo:hi], "seq": seq.view(np.int64), "bands": list(keys)})
 
     # The id is carried as text: a batch with a null id would turn whole numbers into floats.
-    got = _hashed(docs).withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, "doc_id string, th long, seq long, bands array<long>")
+    got = _hashed(docs).withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(trimmed(run), "doc_id string, th long, seq long, bands array<long>")
     return got.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -157,7 +157,7 @@ def multisets(texts: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": seq.view(np.int64), "grams": np.split(g.view(np.int64), cut) if hi > lo else [],
                                     "counts": np.split(c.astype(np.int32), cut) if hi > lo else []})
 
-    return texts.select("text").mapInPandas(run, "doc_id long, grams array<long>, counts array<int>")
+    return texts.select("text").mapInPandas(trimmed(run), "doc_id long, grams array<long>, counts array<int>")
 
 
 def verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
@@ -171,7 +171,7 @@ def verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
     one = bags.select(F.col("doc_id").alias("a"), F.col("grams").alias("g1"), F.col("counts").alias("c1"))
     two = bags.select(F.col("doc_id").alias("b"), F.col("grams").alias("g2"), F.col("counts").alias("c2"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "g1", "c1", "g2", "c2").mapInPandas(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "g1", "c1", "g2", "c2").mapInPandas(trimmed(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def prefix_pairs(open_docs: DataFrame, bags: DataFrame, threshold: float) -> Dat
                 yield pd.DataFrame({"doc_id": doc, "class_id": cls, "size": int(counts.sum()), "gram": grams, "n": counts})
 
     grams = open_docs.join(bags, "doc_id").select("doc_id", "class_id", "grams", "counts").mapInPandas(
-        flat, "doc_id long, class_id long, size long, gram long, n int")
+        trimmed(flat), "doc_id long, class_id long, size long, gram long, n int")
     grams = written(spark, grams, "near-grams")
     often = written(spark, grams.groupBy("gram").agg(F.count("*").alias("df")), "near-df")
 
@@ -226,7 +226,7 @@ def prefix_pairs(open_docs: DataFrame, bags: DataFrame, threshold: float) -> Dat
                 yield pd.DataFrame(some, columns=["gram", "doc_id", "class_id", "size", "at"]).astype("int64")
 
     rarest = grams.join(often, "gram").groupBy("doc_id", "class_id", "size").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "n"))).alias("rows"))
-    postings = written(spark, rarest.mapInPandas(first, "gram long, doc_id long, class_id long, size long, at long"), "near-postings")
+    postings = written(spark, rarest.mapInPandas(trimmed(first), "gram long, doc_id long, class_id long, size long, at long"), "near-postings")
     main = written(spark, postings.groupBy("gram", "class_id").agg(F.count("*").alias("n")).groupBy("gram").agg(
         F.max_by("class_id", F.struct("n", "class_id")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("gram", "main"), "near-main")
     mixed = written(spark, postings.join(main, "gram"), "near-mixed")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import as_bytes, batch_words, small_batches, written
+from emporia.llm.common import as_bytes, batch_words, small_batches, trimmed, written
 from emporia.llm.minhash import _slices
 
 FEATURES, GAMMA, RIDGE, BINS, SEED = 192, 0.04, 1.0, 2048, 7
@@ -100,7 +100,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
             for lo, hi in _slices(texts):
                 yield pd.DataFrame({"doc_id": ids[lo:hi], "x": list(statistics(texts[lo:hi]))})
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, x array<double>")
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(trimmed(run), "doc_id long, x array<double>")
 
 
 class Fourier:
@@ -129,7 +129,7 @@ def _added(parts: DataFrame, ways: int = 16) -> np.ndarray | None:
 
     with small_batches(parts.sparkSession):
         for to in ((), (ways,)):
-            parts = parts.repartition(*to, "part").mapInPandas(add, "part long, v array<double>")
+            parts = parts.repartition(*to, "part").mapInPandas(trimmed(add), "part long, v array<double>")
         some = parts.collect()
     return np.sum([np.array(r["v"]) for r in some], axis=0) if some else None
 
@@ -146,7 +146,7 @@ def _partition_sums(rows: DataFrame, vector) -> DataFrame:
         if total is not None:
             yield pd.DataFrame({"part": [b["part"].iloc[0]] if len(b) else [0], "v": [total]})
 
-    return rows.withColumn("part", F.spark_partition_id()).mapInPandas(run, "part long, v array<double>")
+    return rows.withColumn("part", F.spark_partition_id()).mapInPandas(trimmed(run), "part long, v array<double>")
 
 
 class Model:
@@ -240,7 +240,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
             if len(b):
                 yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "score": model.score(np.stack([np.asarray(x) for x in b["x"]]))})
 
-    out = stats.mapInPandas(run, "doc_id long, score double")
+    out = stats.mapInPandas(trimmed(run), "doc_id long, score double")
     return out.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -260,4 +260,4 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
             if keep:
                 yield b.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

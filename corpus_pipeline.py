@@ -3,6 +3,7 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor
 kept; all but the last return the columns of ``documents``.  A stage's output is
 a table in the shared folder, so a lost executor costs at most one stage's tasks.
+All stages share the executors: Python batches are bounded in bytes for the session.
 """
 
 from __future__ import annotations
@@ -10,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from emporia.llm import bpe, decontaminate, exact_dedup, minhash, quality
-from emporia.llm.common import read, written
+from emporia.llm.common import bound_batches, read, written
 from emporia.llm.queries import tokenizer_path
 from emporia.session import configure
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    bound_batches(spark)
     return quality.accepted(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
@@ -37,6 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left."""
+    bound_batches(spark)
     return bpe.digest_documents(docs, tokenizer_path())
 
 

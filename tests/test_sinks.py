@@ -154,3 +154,24 @@ def test_lost_index_batch_is_caught_up(spark, store):
     KeyIndex(store, "customers", ("customer_id",)).forget(stamp(T2))  # as if the load had broken off before indexing
     assert append_new(store, customers(spark, ["a", "b", "c"]), "customers", T3, "incremental") == 1
     assert store.read("bronze", "customers").where(F.col(BATCH) == stamp(T3)).count() == 1
+
+
+def test_screening_moves_no_source_row(spark, store):
+    append_new(store, customers(spark, [f"k{i}" for i in range(2000)]), "customers", T1, "incremental")
+    plan = KeyIndex(store, "customers", ("customer_id",)).screened(customers(spark, ["k1", "n1"]))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(_slot" not in plan
+
+
+def test_filter_has_a_largest_size_and_stays_exact(spark, store, monkeypatch):
+    monkeypatch.setattr(K, "MAX_SLOTS", 1, raising=False)
+    ids = [f"a{i}" for i in range(9000)]
+    append_new(store, customers(spark, ids), "customers", T1, "incremental")
+    assert KeyIndex(store, "customers", ("customer_id",))._size() == (1, 9000)
+    assert append_new(store, customers(spark, ids + [f"b{i}" for i in range(700)]), "customers", T2, "incremental") == 700
+
+
+def test_first_load_writes_where_it_reads(spark, store):
+    """A batch is one partition: gathering its rows by it would shuffle the whole load."""
+    append_new(store, customers(spark, [str(i) for i in range(90)]).repartition(3, "customer_id"), "customers", T1, "snapshot")
+    assert len(store.files("bronze", "customers")) == 3
+    assert all(f.endswith(".zstd.parquet") for f in store.files("bronze", "customers"))

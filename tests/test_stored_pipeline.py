@@ -123,3 +123,9 @@ def test_malformed_lines_are_set_aside(spark, tmp_path):
     assert rows.select("customer_id").count() == 2 and rejects.select("line").count() == 2
     with pytest.raises(Exception):
         read_feed(spark, str(tmp_path / "c"), "customers").collect()
+
+
+def test_csv_keys_stage_their_feed_only(spark, monkeypatch):
+    monkeypatch.setattr(C, "_STAGED", {})
+    df = C.registry()["csv_products"](spark, SF_SMALL)
+    assert len(C._STAGED) == 1 and all("products" in f and f.endswith(".gz") for f in df.inputFiles())

@@ -34,3 +34,17 @@ def test_surrogate_keys_dense_unique_and_offset(spark):
     assert keys == list(range(101, 1335))
     again = dict(surrogate_keys(df, ["k"], "key", start=100, buckets=7).collect())
     assert again == dict(out.collect())
+
+
+def test_keys_within_a_column_leave_rows_gathered_by_it(spark):
+    from emporia.operators.ordinals import surrogate_keys
+
+    df = spark.range(6000).selectExpr("cast(id as string) k", "cast(id % 6 as int) y")
+    got = surrogate_keys(df.repartition(7), ["k"], "sk", start=10, within=("y",))
+    keys = {r.k: r.sk for r in got.collect()}
+    assert sorted(keys.values()) == list(range(11, 6011))
+    assert keys == {r.k: r.sk for r in surrogate_keys(df.repartition(3), ["k"], "sk", start=10, within=("y",)).collect()}
+    from pyspark.sql import functions as F
+
+    pieces = got.select("y", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(pieces) <= 6 + len({r.p for r in pieces})

@@ -54,3 +54,12 @@ def test_reports_read_no_unused_table(spark):
     for key in ("sales_summary", "dash_payment_split", "dash_free_shipping"):
         assert not {"customer", "part"} & set(scans(reg[key](spark, SF_SMALL))), key
     assert "customer" not in scans(reg["dash_category_revenue"](spark, SF_SMALL))
+
+
+def test_second_loads_share_the_dedup_shuffles(spark):
+    """All readers of a load's rows test the same keys under the dedup, so that one shuffle of it serves them all."""
+    lines = [x for x in re.sub(r"#\d+L?", "", plan(C.registry()["fact_sales_two_loads"](spark, SF_SMALL))).split("\n") if "FileScan" not in x]
+    items = [line[line.index("Filter ("):] for line in lines if "Filter (" in line and "l_orderkey" in line]
+    payments = [line[line.index("Filter ("):] for line in lines if "Filter (" in line and "o_orderkey" in line and "o_custkey" not in line]
+    for found in (items, payments):
+        assert len(found) > 2 and len(set(found)) == 2, set(found)  # one for each load

@@ -48,3 +48,18 @@ def test_keys_within_a_column_leave_rows_gathered_by_it(spark):
 
     pieces = got.select("y", F.spark_partition_id().alias("p")).distinct().collect()
     assert len(pieces) <= 6 + len({r.p for r in pieces})
+
+
+def test_stored_rows_are_numbered_without_a_shuffle_of_them(spark, tmp_path):
+    from emporia.operators.gold import with_fact_keys
+    import datetime as dt
+
+    spark.range(6000).selectExpr("cast(id as string) order_id", "cast(id % 6 as int) order_year").repartition(5).write.parquet(str(tmp_path / "t"))
+    got = with_fact_keys(spark.read.parquet(str(tmp_path / "t")), "sk", 10, dt.datetime(2024, 1, 1))
+    keys = {r.order_id: r.sk for r in got.collect()}
+    assert sorted(keys.values()) == list(range(11, 6011))
+    assert keys == {r.order_id: r.sk for r in got.repartition(3).collect()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "row_number" not in plan
+    empty = spark.read.parquet(str(tmp_path / "t")).where("order_year > 9")
+    assert with_fact_keys(empty, "sk", 0, dt.datetime(2024, 1, 1)).count() == 0

@@ -175,3 +175,21 @@ def test_first_load_writes_where_it_reads(spark, store):
     append_new(store, customers(spark, [str(i) for i in range(90)]).repartition(3, "customer_id"), "customers", T1, "snapshot")
     assert len(store.files("bronze", "customers")) == 3
     assert all(f.endswith(".zstd.parquet") for f in store.files("bronze", "customers"))
+
+
+def test_superseded_generations_leave_with_their_version(spark, store):
+    for ts, v in ((T1, 1), (T2, 2)):
+        store.write_buckets("silver", "t", keyed(spark, [("a", v)]), stamp(ts), new_version=ts == T1)
+    old = store.current_dir("silver", "t")
+    store.write_buckets("silver", "t", keyed(spark, [("a", 3)]), stamp(T3), new_version=True)
+    store.drop_old_versions("silver", "t", keep=2)
+    # Two states stay: the new version, and the version before it as it last was.
+    gens = {p.getPath().getName() for p in store._fs.globStatus(store._Path(f"{old}/{BUCKET}=*/{GEN}=*"))}
+    assert gens == {f"{GEN}={stamp(T2)}"} and [r.v for r in store.read("silver", "t").collect()] == [3]
+
+
+def test_a_restarted_index_leaves_no_old_files(spark, store):
+    for ts in (T1, T2):
+        append_new(store, customers(spark, ["a", "b"]), "customers", ts, "snapshot")
+    assert len(store.versions(K.LAYER, "customers_keys")) == 1
+    assert append_new(store, customers(spark, ["b", "c"]), "customers", T3, "incremental") == 1

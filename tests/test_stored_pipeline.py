@@ -2,11 +2,12 @@
 
 import datetime as dt
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 from emporia.__main__ import main
 from emporia.operators.digest import digest, key_is_dense
 from emporia.operators.profile import ERROR, profile
@@ -14,8 +15,10 @@ from emporia.plans import catalog as C
 from emporia.plans import dashboards as D
 from emporia.plans.pipeline import Pipeline
 from emporia.schemas import SOURCE_COLUMNS
+from emporia.session import RELEASE_SHUFFLES
 from emporia.sources import derived_feed as feed
 from emporia.sources.csv_feed import read_feed, read_feed_checked, write_feed
+from emporia.sources.store import TableStore
 
 
 @pytest.fixture(scope="module")
@@ -129,3 +132,43 @@ def test_csv_keys_stage_their_feed_only(spark, monkeypatch):
     monkeypatch.setattr(C, "_STAGED", {})
     df = C.registry()["csv_products"](spark, SF_SMALL)
     assert len(C._STAGED) == 1 and all("products" in f and f.endswith(".gz") for f in df.inputFiles())
+
+
+def test_steps_leave_no_shuffle_files(spark, feeds):
+    def shuffles():
+        names = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        found = set()
+        while names.hasNext():
+            found.add(names.next().getName())
+        return {f for f in found if f.startswith("shuffle_")}
+
+    p = Pipeline(spark, f"{feeds}/wh-shuffles", lambda n: read_feed(spark, f"{feeds}/feeds/{n}", n))
+    p.run_layer("source")
+    p.run_layer("bronze")
+    before, setting = shuffles(), spark.conf.get(RELEASE_SHUFFLES)
+    assert p.run_layer("silver").total_rows > 0
+    deadline = time.time() + 20  # files are deleted in the background
+    while shuffles() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(RELEASE_SHUFFLES) == setting
+
+
+def test_loads_keep_two_versions_while_a_run_lasts(spark, feeds):
+    p = Pipeline(spark, f"{feeds}/wh-versions", lambda n: read_feed(spark, f"{feeds}/feeds/{n}", n))
+    for _ in range(3):  # no run ends here
+        p.run_module("source", "customers")
+    assert p.store.versions("source", "customers") == [2, 3]
+
+
+def test_extracts_are_dropped_after_their_runs(spark):
+    p, results, _ = C.pipeline_runs(spark, SF_ORACLE)
+    assert len(results) == 3 and TableStore(spark, p.store.root.rsplit("/", 1)[0])._names(f"{p.store.root}/../feeds", "b") == []
+
+
+def test_dense_keys_are_told_by_bits(spark):
+    cases = [[None, 1], [1, 2, None], list(range(1, 70_001)), [*range(1, 70_000), 69_999], [0, 1, 2], [-1, 1, 2, 3], [*range(1, 32_768), 32_769], [1, 2, 2, 4]]
+    for ks in cases:
+        df = spark.createDataFrame([(k,) for k in ks], "k long")
+        assert key_is_dense(df, "k").first()[0] == (ks == list(range(1, len(ks) + 1)))
+    plan = plan_of(key_is_dense(spark.range(1, 9).toDF("k"), "k"))
+    assert not re.search(r"hashpartitioning\(k#", plan)  # no key crosses a shuffle

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+import threading
 import time
 
 import pytest
@@ -172,3 +173,11 @@ def test_dense_keys_are_told_by_bits(spark):
         assert key_is_dense(df, "k").first()[0] == (ks == list(range(1, len(ks) + 1)))
     plan = plan_of(key_is_dense(spark.range(1, 9).toDF("k"), "k"))
     assert not re.search(r"hashpartitioning\(k#", plan)  # no key crosses a shuffle
+
+
+def test_independent_jobs_run_at_once_and_keep_their_order():
+    meet = threading.Barrier(3, timeout=30)  # broken if one job waited for another
+
+    assert C._at_once([lambda i=i: (meet.wait(), i)[1] for i in range(3)]) == [0, 1, 2]
+    with pytest.raises(ZeroDivisionError):
+        C._at_once([lambda: 1 / 0, lambda: 1])
